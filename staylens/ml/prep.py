@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens.schemas import CATEGORICAL, FLAGS, NUMERIC, TARGET
+from staylens.session import kept
 
 SCALED = "scaled_numeric_features"
 
@@ -57,9 +58,10 @@ def check_categories(df: DataFrame, columns: Columns, limit: int = 100_000) -> N
 
 
 def fit(train: DataFrame, columns: Columns = Columns(), limit: int = 100_000) -> PipelineModel:
-    """Fit on training rows only."""
-    check_categories(train, columns, limit)
-    return build(columns).fit(train)
+    """Fit on training rows only; the three passes of the fit share one computation of them."""
+    with kept(train) as rows:
+        check_categories(rows, columns, limit)
+        return build(columns).fit(rows)
 
 
 def transform(model: PipelineModel, df: DataFrame, columns: Columns = Columns()) -> DataFrame:

@@ -70,17 +70,30 @@ def correct_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def remove_violations(df: DataFrame) -> DataFrame:
-    """Keep rows for which every removing rule is known to be false.
+def passes_rules() -> Column:
+    """True where every removing rule is known to be false.
 
-    A rule that cannot be decided because a value is null removes the row as well,
-    and so does a guest count or rate that is null.
+    A rule that cannot be decided because a value is null counts against the row, and so
+    does a guest count or rate that is null.
     """
     rules = logic_rules()
     keep = (_guests() > 0) & (F.col("adr") >= 0)
     for name in REMOVED_RULES:
         keep = keep & ~rules[name]
-    return df.filter(keep)
+    return keep
+
+
+def within_caps(below: Mapping[str, float] = RATE_BELOW, at_most: Mapping[str, float] = AT_MOST) -> Column:
+    keep = F.lit(True)
+    for name, bound in below.items():
+        keep = keep & (F.col(name) < bound)
+    for name, bound in at_most.items():
+        keep = keep & (F.col(name) <= bound)
+    return keep
+
+
+def remove_violations(df: DataFrame) -> DataFrame:
+    return df.filter(passes_rules())
 
 
 def impute(df: DataFrame, sentinels: Mapping[str, str] = SENTINELS) -> DataFrame:
@@ -95,12 +108,7 @@ def cap_outliers(
     at_most: Mapping[str, float] = AT_MOST,
 ) -> DataFrame:
     """Drop rows with extreme values (that is the step's purpose; nulls go as well)."""
-    keep = F.lit(True)
-    for name, bound in below.items():
-        keep = keep & (F.col(name) < bound)
-    for name, bound in at_most.items():
-        keep = keep & (F.col(name) <= bound)
-    return df.filter(keep)
+    return df.filter(within_caps(below, at_most))
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -111,18 +119,8 @@ def clean(df: DataFrame) -> DataFrame:
 
 def clean_counts(df: DataFrame) -> DataFrame:
     """Rows at the start, after the rules and after the caps: one scan for all three."""
-    fixed = correct_flags(fix_types(df))
-    rules = logic_rules()
-    passes = (_guests() > 0) & (F.col("adr") >= 0)
-    for name in REMOVED_RULES:
-        passes = passes & ~rules[name]
-    inside = passes
-    for name, bound in RATE_BELOW.items():
-        inside = inside & (F.col(name) < bound)
-    for name, bound in AT_MOST.items():
-        inside = inside & (F.col(name) <= bound)
-    return fixed.agg(
+    return fix_types(df).agg(
         F.count(F.lit(1)).alias("rows_raw"),
-        F.count_if(passes).alias("rows_after_rules"),
-        F.count_if(inside).alias("rows_after_caps"),
+        F.count_if(passes_rules()).alias("rows_after_rules"),
+        F.count_if(passes_rules() & within_caps()).alias("rows_after_caps"),
     )

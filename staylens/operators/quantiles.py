@@ -17,16 +17,18 @@ _ACCURACY = 10_000
 class _Target:
     """One order statistic: the value at 0-based ``rank`` of ``column``.
 
-    It is known to lie in [low, high]; ``below`` rows are smaller than ``low``.
+    It is known to lie in [low, high]; ``below`` rows are smaller than ``low``,
+    ``inside`` rows lie in the range and have about ``distinct`` different values.
+    ``grid`` holds approximate quantiles of the rows inside, once a pass took them.
     """
 
     column: str
     rank: int
     low: float
     high: float
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
+    below: int
+    inside: int
+    distinct: int
     grid: list[float] | None = None
 
     @property
@@ -34,15 +36,16 @@ class _Target:
         return self.low == self.high
 
     def proposal(self) -> tuple[float, float]:
-        """A narrower closed range that should hold the rank, from the value grid."""
-        if self.grid:
-            at = (self.rank - self.below) / max(self.inside, 1) * 200
-            low = self.grid[max(0, math.floor(at) - 1)]
-            high = self.grid[min(200, math.ceil(at) + 1)]
-            if (low, high) != (self.low, self.high):
-                return low, high
-        middle = self.low + (self.high - self.low) / 2
-        return self.low, middle
+        """The range the next pass should count: all of it if nothing is known yet."""
+        if not self.grid:
+            return self.low, self.high
+        at = (self.rank - self.below) / max(self.inside, 1) * (len(self.grid) - 1)
+        low = self.grid[max(0, math.floor(at) - 1)]
+        high = self.grid[min(len(self.grid) - 1, math.ceil(at) + 1)]
+        if (low, high) != (self.low, self.high):
+            return low, high
+        # Few values hold most rows: halve the range instead.
+        return self.low, self.low + (self.high - self.low) / 2
 
 
 def _clean(name: str) -> Column:
@@ -83,31 +86,32 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
 def _resolve(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, int], float]:
     """Read each value off the sorted distinct values of its (now small) range."""
     answer = {(t.column, t.rank): t.low for t in targets if t.found}
-    open_targets = [t for t in targets if not t.found]
-    if not open_targets:
+    slices: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        if not t.found:
+            slices.setdefault((t.column, t.low, t.high, t.below), []).append(t)
+    if not slices:
         return answer
-    hits = []
-    for i, t in enumerate(open_targets):
-        v = _clean(t.column)
-        hit = (v >= t.low) & (v <= t.high)
-        hits.append(F.when(hit, F.struct(F.lit(i).alias("target"), v.alias("value"))))
+    hits, wanted = [], []
+    for i, ((column, low, high, below), members) in enumerate(slices.items()):
+        v = _clean(column)
+        hits.append(F.when((v >= low) & (v <= high), F.struct(F.lit(i).alias("slice"), v.alias("value"))))
+        ranks = [F.lit(t.rank - below).cast("bigint") for t in members]
+        wanted += [F.lit(i), F.array(*ranks)]
     counted = (
         df.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
-        .groupBy("target", "value")
+        .groupBy("slice", "value")
         .count()
     )
-    limits = F.create_map(*[F.lit(x) for i, t in enumerate(open_targets) for x in (i, t.rank - t.below)])
-    upto = Window.partitionBy("target").orderBy("value")
-    rows = (
-        counted.withColumn("upto", F.sum("count").over(upto))
-        .filter(F.col("upto") > limits[F.col("target")])
-        .groupBy("target")
-        .agg(F.min("value").alias("value"))
-        .collect()  # one row per target
+    upto = Window.partitionBy("slice").orderBy("value")
+    running = counted.withColumn("upto", F.sum("count").over(upto))
+    reached = running.select("*", F.explode(F.create_map(*wanted)[F.col("slice")]).alias("rank")).filter(
+        F.col("upto") > F.col("rank")
     )
-    for row in rows:
-        t = open_targets[row["target"]]
-        answer[(t.column, t.rank)] = row["value"]
+    keys = list(slices)
+    for row in reached.groupBy("slice", "rank").agg(F.min("value").alias("value")).collect():  # one row per target
+        column, _, _, below = keys[row["slice"]]
+        answer[(column, row["rank"] + below)] = row["value"]
     return answer
 
 
@@ -121,10 +125,11 @@ def exact_quantiles(
     """Exact quantiles as rows (column, probability, n, value); nulls and NaN are left out.
 
     The built-in exact percentile keeps every distinct value of a column in one task.
-    Here a quantile sketch brackets each wanted rank, a scan counts what lies below the
-    bracket, and this repeats until a bracket holds at most ``finish_distinct`` distinct
-    values, which are then counted and sorted. A bracket keeps about 2 % of its rows per
-    pass, so even very large columns need only a few scans.
+    Here a first scan counts; a column with at most ``finish_distinct`` distinct values
+    (about) is then grouped by value and its running counts are read off. For a wider
+    column a quantile sketch first brackets each wanted rank, a scan counts what lies
+    below the bracket, and this repeats until the bracket is small enough. A bracket
+    keeps about 2 % of its rows per pass, so even very large columns need few scans.
 
     ``linear`` interpolates between neighbours, ``rank`` takes the first value whose
     cumulative share reaches the probability.
@@ -138,7 +143,6 @@ def exact_quantiles(
                 F.min(_clean(c)).alias(f"lo{i}"),
                 F.max(_clean(c)).alias(f"hi{i}"),
                 F.approx_count_distinct(_clean(c)).alias(f"d{i}"),
-                F.percentile_approx(_clean(c), _GRID, _ACCURACY).alias(f"g{i}"),
             )
         ]
     ).first()
@@ -159,10 +163,7 @@ def exact_quantiles(
             for rank in (low_rank, high_rank):
                 targets.setdefault(
                     (c, rank),
-                    _Target(
-                        c, rank, first[f"lo{i}"], first[f"hi{i}"], inside=n,
-                        distinct=first[f"d{i}"], grid=first[f"g{i}"],
-                    ),
+                    _Target(c, rank, first[f"lo{i}"], first[f"hi{i}"], 0, n, first[f"d{i}"]),
                 )
             wanted.append((c, p, n, (low_rank, high_rank, position - low_rank)))
 

@@ -123,7 +123,7 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
         raw, event_time=F.date_format(F.date_trunc("week", "reservation_status_date"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     )
     path = scratch_dir(spark, "messages")
-    messages.write.mode("overwrite").parquet(path)
+    E.write_messages(messages, "parquet", path)
     return E.parse_events(E.read_stream(spark, "parquet", path, messages.schema))
 
 

@@ -78,7 +78,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 
 def parse_events(spark: SparkSession, folder: str) -> DataFrame:
     """JSON text of the events table as a typed column."""
-    schema = T.StructType.fromDDL("k int")
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
     return E.parse_json(read_table(spark, folder, "events"), schema, "props", keep=["event_id"])
 
 

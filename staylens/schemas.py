@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType()}
+
+
+def _struct(fields: str) -> T.StructType:
+    """``name type`` pairs -> schema. Unlike Spark's own DDL reader it needs no session."""
+    pairs = (pair.split() for pair in fields.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
 # Column names and types of one reservation row. `children`, `agent`,
 # `company` and `country` carry text tokens for "missing", so they stay strings.
-RAW = T.StructType.fromDDL(
+RAW = _struct(
     """
     hotel string, is_canceled int, lead_time int, arrival_date_year int,
     arrival_date_month string, arrival_date_week_number int, arrival_date_day_of_month int,
@@ -22,7 +30,7 @@ RAW = T.StructType.fromDDL(
 )
 
 # Fields of the event message.
-EVENT = T.StructType.fromDDL(
+EVENT = _struct(
     """
     hotel string, is_canceled int, lead_time int, arrival_date_year int,
     arrival_date_month string, arrival_date_day_of_month int, stays_in_weekend_nights int,

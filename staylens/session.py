@@ -17,11 +17,14 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the results depend on; everything else is the cluster's.
 
     ANSI mode stays as it is. RocksDB keeps streaming state off the JVM heap, so
-    its size is bounded by executor disk and not by executor memory.
+    its size is bounded by executor disk and not by executor memory. Generated methods
+    above 8000 bytes are never compiled by the JVM and run about ten times slower (long
+    rule filters get there), so such stages use the split form instead.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 

@@ -1,6 +1,6 @@
 """Batch readers and writers."""
 
-from staylens.sources.tables import read_bookings, read_features, read_table
+from staylens.sources.tables import read_bookings, read_features, read_table, register
 from staylens.sources.sinks import write_csv, write_parquet
 
-__all__ = ["read_bookings", "read_features", "read_table", "write_csv", "write_parquet"]
+__all__ = ["read_bookings", "read_features", "read_table", "register", "write_csv", "write_parquet"]

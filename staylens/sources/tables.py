@@ -26,3 +26,9 @@ def read_bookings(
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Parquet hand-over between stages, which keeps types and vector metadata."""
     return spark.read.parquet(path)
+
+
+def register(df: DataFrame, name: str = "hotel_bookings") -> DataFrame:
+    """Make ``df`` readable from SQL text under ``name``."""
+    df.createOrReplaceTempView(name)
+    return df

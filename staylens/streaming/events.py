@@ -49,6 +49,18 @@ def to_event_envelope(
     )
 
 
+def write_messages(messages: DataFrame, sink: str = "kafka", path: str | None = None, **options) -> None:
+    """Send (key, value) rows to a message topic, or to files with ``path``.
+
+    Client settings such as compression go through as ``kafka.*`` options.
+    """
+    writer = messages.write.format(sink).options(**{k: str(v) for k, v in options.items()})
+    if path:
+        writer.mode("overwrite").save(path)
+    else:
+        writer.save()
+
+
 def read_stream(spark: SparkSession, source: str, path: str | None = None, schema=None, **options) -> DataFrame:
     """Streaming source. ``source='kafka'`` takes its options; file sources take a path."""
     reader = spark.readStream.format(source)
