@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BINS = 10_000
+# Scores closer than this to 0 or 1 share the outermost step.
+_EDGE = 1e-9
 
 
 def scored(predictions: DataFrame) -> DataFrame:
-    """(label, prediction, score): score is the probability of class 1."""
+    """(label, prediction, score, raw): score is the probability of class 1, raw its margin.
+
+    A probability rounds to 1 long before margins stop differing, so ranking uses ``raw``.
+    """
     return predictions.select(
         F.col("label").cast("double").alias("label"),
         F.col("prediction").cast("double").alias("prediction"),
         vector_to_array("probability")[1].alias("score"),
+        vector_to_array("rawPrediction")[1].alias("raw"),
     )
 
 
@@ -71,38 +79,56 @@ def metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
-def roc_points(predictions: DataFrame, bins: int = 1_000) -> DataFrame:
-    """Points of the ROC curve, scores grouped into ``bins`` equal steps.
+def _step(score: Column, bins: int, scale: str) -> Column:
+    if scale == "linear":
+        position = score
+    else:
+        odds = F.greatest(score, F.lit(_EDGE)) / F.greatest(1 - score, F.lit(_EDGE))
+        position = (F.ln(odds) / math.log(1 / _EDGE) + 1) / 2
+    return F.least(F.floor(position * bins), F.lit(bins - 1)).cast("int")
+
+
+def _threshold(step: Column, bins: int, scale: str) -> Column:
+    position = step / F.lit(float(bins))
+    if scale == "linear":
+        return position
+    return 1 / (1 + F.exp((1 - 2 * position) * math.log(1 / _EDGE)))
+
+
+def roc_points(predictions: DataFrame, bins: int = 1_000, scale: str = "logit") -> DataFrame:
+    """Points of the ROC curve, scores grouped into ``bins`` steps.
 
-    The running sums go over at most ``bins`` rows; rows with the same score share a step.
+    The running sums go over at most ``bins`` rows. Steps are equal in log-odds, so that
+    scores crowded near 0 and 1 stay apart, or equal in score (``linear``).
     """
     if not 1 <= bins <= MAX_BINS:
         raise ValueError(f"bins must be between 1 and {MAX_BINS}")
-    step = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
-    counted = predictions.groupBy(step.alias("bin")).agg(
+    counted = predictions.groupBy(_step(F.col("score"), bins, scale).alias("bin")).agg(
         F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")
     )
     down = Window.orderBy(F.desc("bin"))
     whole = Window.partitionBy()
     return counted.select(
-        (F.col("bin") / F.lit(float(bins))).alias("threshold"),
+        _threshold(F.col("bin"), bins, scale).alias("threshold"),
         F.try_divide(F.sum("negatives").over(down), F.sum("negatives").over(whole)).alias("fpr"),
         F.try_divide(F.sum("positives").over(down), F.sum("positives").over(whole)).alias("tpr"),
     )
 
 
-def roc_auc(predictions: DataFrame, bins: int = 1_000) -> DataFrame:
+def roc_auc(predictions: DataFrame, bins: int = 1_000, scale: str = "logit") -> DataFrame:
     """Area under the stepped curve, by trapezoids, as one row."""
     down = Window.orderBy(F.desc("threshold"))
-    points = roc_points(predictions, bins)
+    points = roc_points(predictions, bins, scale)
     width = F.col("fpr") - F.lag("fpr", 1, 0.0).over(down)
     height = (F.col("tpr") + F.lag("tpr", 1, 0.0).over(down)) / 2
     return points.select((width * height).alias("area")).agg(F.sum("area").alias("roc_auc"))
 
 
-def evaluate(predictions: DataFrame, bins: int = MAX_BINS) -> DataFrame:
-    """All five metrics as one row."""
-    return metrics(predictions).withColumn("roc_auc", roc_auc(predictions, bins).scalar())
+def evaluate(predictions: DataFrame) -> DataFrame:
+    """All five metrics as one row; the AUC comes from Spark's own sorted evaluation."""
+    ranking = "raw" if "raw" in predictions.columns else "score"
+    auc = BinaryClassificationEvaluator(rawPredictionCol=ranking, metricName="areaUnderROC").evaluate(predictions)
+    return metrics(predictions).withColumn("roc_auc", F.lit(float(auc)))
 
 
 def compare(models: Mapping[str, DataFrame], digits: int = 4) -> DataFrame:

@@ -131,7 +131,9 @@ def rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    table = evaluate.evaluate(rule_predictions(spark, folder), bins=100)
+    predictions = rule_predictions(spark, folder)
+    area = evaluate.roc_auc(predictions, 100, "linear").scalar()
+    table = evaluate.metrics(predictions).withColumn("roc_auc", area)
     return table.select(*[F.round(c, 6).alias(c) for c in table.columns])
 
 
@@ -140,7 +142,7 @@ def rule_confusion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_roc(spark: SparkSession, folder: str) -> DataFrame:
-    points = evaluate.roc_points(rule_predictions(spark, folder), bins=100)
+    points = evaluate.roc_points(rule_predictions(spark, folder), 100, "linear")
     return points.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 
