@@ -14,7 +14,7 @@ def stable_round(value: Column, digits: int = 2) -> Column:
 
     The mean of two-decimal values often falls exactly on a tie, where the last bit
     of the sum (it varies with partitioning and retries) would decide. Sums of money
-    are handled separately, as decimals.
+    are exact instead (see :mod:`staylens.functions.money`).
     """
     scale = float(10**digits)
     size = F.floor(F.abs(value) * scale + (0.5 + _TIE_NOISE))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.functions import stable_round
+from staylens.functions import exact_sum, stable_round
 
 _RANKS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -33,11 +33,12 @@ def rate_measures(
 ) -> list[Column]:
     """Aggregates for "percent of rows with the 0/1 flag set".
 
-    A null flag is left out of the base unless ``null_in_denominator``.
+    A null flag is left out of the base unless ``null_in_denominator``. Counts of flags are
+    exact in any order, so plain rounding is repeatable here.
     """
     number = flag.cast("double")
     share = F.sum(number) / F.count(F.lit(1)) if null_in_denominator else F.avg(number)
-    measures = [stable_round(share * 100, digits).alias(rate)]
+    measures = [F.round(share * 100, digits).alias(rate)]
     if volume:
         measures.insert(0, F.count(F.lit(1)).alias(volume))
     return measures
@@ -60,7 +61,7 @@ def rate_from_counts(
 ) -> DataFrame:
     """Like :func:`rate_by_group`, from rows that already carry partial counts."""
     share = F.try_divide(F.sum(flagged).cast("double"), F.sum(total))
-    measures = [stable_round(share * 100, digits).alias(rate)]
+    measures = [F.round(share * 100, digits).alias(rate)]
     if volume:
         measures.insert(0, F.sum(total).alias(volume))
     return df.groupBy(*keys).agg(*measures)
@@ -126,22 +127,21 @@ def revenue_by_period(
     period: Sequence[str] | Mapping[str, Column],
     amount: Column,
     realised: Column,
+    scale: int = 2,
     digits: int = 2,
 ) -> DataFrame:
     """Potential, actual and lost revenue per period, and the lost share in percent.
 
-    ``amount`` is a decimal: its sum is the same whatever the order of the partial sums.
+    ``amount`` is in whole units of ``10**-scale`` (see :mod:`staylens.functions.money`).
     """
-    zero = F.lit(0).cast("decimal(1,0)")
     totals = df.groupBy(*_named(period)).agg(
-        F.sum(amount).alias("_all"),
-        F.sum(F.when(realised, amount).otherwise(zero)).alias("_kept"),
+        exact_sum(amount, scale).alias("_all"),
+        exact_sum(F.when(realised, amount).otherwise(F.lit(0).cast("bigint")), scale).alias("_kept"),
     )
     potential = F.round("_all", digits)
     actual = F.round("_kept", digits)
-    names = list(period)
     return totals.select(
-        *names,
+        *list(period),
         potential.cast("double").alias("revenue_potential"),
         actual.cast("double").alias("revenue_actual"),
         (potential - actual).cast("double").alias("revenue_lost"),
@@ -152,10 +152,16 @@ def revenue_by_period(
 
 
 def amount_by_period(
-    df: DataFrame, period: Sequence[str] | Mapping[str, Column], amount: Column, name: str = "revenue", digits: int = 0
+    df: DataFrame,
+    period: Sequence[str] | Mapping[str, Column],
+    amount: Column,
+    name: str = "revenue",
+    scale: int = 2,
+    digits: int = 0,
 ) -> DataFrame:
-    """Rounded decimal sum per period."""
-    return df.groupBy(*_named(period)).agg(F.round(F.sum(amount), digits).cast("double").alias(name))
+    """Rounded sum of whole units per period."""
+    total = F.round(exact_sum(amount, scale), digits)
+    return df.groupBy(*_named(period)).agg(total.cast("double").alias(name))
 
 
 def share_of_total(
@@ -197,8 +203,12 @@ def flag_label_rate(
 
 
 def peak_per_period(
-    df: DataFrame, period: str, item: Sequence[str], value: str
+    df: DataFrame, period: str, item: Sequence[str], value: str, also: Sequence[Column] = ()
 ) -> DataFrame:
-    """The row with the largest value per period; the earliest item wins a tie."""
+    """The row with the largest value per period; the earliest item (a number) wins a tie.
+
+    ``also`` are further aggregates over the period's rows.
+    """
     best = F.max_by(F.struct(value, *item), F.struct(F.col(value), *[-F.col(i) for i in item]))
-    return df.groupBy(period).agg(best.alias("_best")).select(period, "_best.*")
+    table = df.groupBy(period).agg(best.alias("_best"), *also)
+    return table.select(period, "_best.*", *[c for c in table.columns if c not in (period, "_best")])

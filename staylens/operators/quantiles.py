@@ -92,14 +92,18 @@ def _resolve(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, int], flo
             slices.setdefault((t.column, t.low, t.high, t.below), []).append(t)
     if not slices:
         return answer
-    hits, wanted = [], []
+    hits, entries, wanted = F.lit(False), [], []
     for i, ((column, low, high, below), members) in enumerate(slices.items()):
         v = _clean(column)
-        hits.append(F.when((v >= low) & (v <= high), F.struct(F.lit(i).alias("slice"), v.alias("value"))))
+        hit = (v >= low) & (v <= high)
+        hits = hits | hit
+        entries.append(F.struct(F.lit(i).alias("slice"), F.when(hit, v).alias("value")))
         ranks = [F.lit(t.rank - below).cast("bigint") for t in members]
         wanted += [F.lit(i), F.array(*ranks)]
     counted = (
-        df.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+        df.filter(hits)
+        .select(F.inline(F.array(*entries)))
+        .filter(F.col("value").isNotNull())
         .groupBy("slice", "value")
         .count()
     )
@@ -120,7 +124,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     method: str = "linear",
-    finish_distinct: int = 100_000,
+    finish_distinct: int = 1_000_000,
 ) -> DataFrame:
     """Exact quantiles as rows (column, probability, n, value); nulls and NaN are left out.
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from staylens.ml import classify, cluster, evaluate, prep
 from staylens.operators import split
-from staylens.sources import read_table
+from staylens.session import scratch_dir
+from staylens.sources import read_features, read_table, write_parquet
 
 COLUMNS = prep.Columns(
     categorical=["lang", "source"],
@@ -41,8 +42,14 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, folder: str):
-    """(train, test, fitted pipeline)."""
-    train, test = split.stratified_split(document_features(spark, folder), COLUMNS.target, ["doc_id"])
+    """(train, test, fitted pipeline).
+
+    The measured documents are written once, as a narrow table of numbers: every pass of
+    the fits then reads that table instead of the texts, also after losing an executor.
+    """
+    path = scratch_dir(spark, "documents")
+    write_parquet(document_features(spark, folder), path)
+    train, test = split.stratified_split(read_features(spark, path), COLUMNS.target, ["doc_id"])
     model = prep.fit(train, COLUMNS)
     return prep.transform(model, train, COLUMNS), prep.transform(model, test, COLUMNS), model
 

@@ -14,6 +14,7 @@ def _rate(flag: str) -> str:
 
 
 def _half_up(value: str, digits: int = 2) -> str:
+    """For means of amounts, whose ties would otherwise hang on the order of the sum."""
     scale = 10**digits
     return f"floor(({value}) * {scale}e0 + 0.5e0 + 1e-9) / {scale}e0"
 
@@ -319,7 +320,7 @@ def _booking_sql() -> dict[str, str]:
         "booking_stream_countries": f"""
             WITH {_SENT}, {_minute_slices(2, "country NOT IN ('NULL', 'NA', '0', 'Unknown')")}
             SELECT period_start, country, hotel, count(*) AS booking_count, {_half_up("avg(adr)")} AS avg_spend,
-                   {_half_up("avg(is_canceled) * 100", 1)} AS cancel_rate_pct
+                   round(avg(is_canceled) * 100, 1) AS cancel_rate_pct
             FROM sliced GROUP BY period_start, country, hotel""",
     }
     return sql
@@ -498,7 +499,7 @@ def _stream_sql() -> dict[str, str]:
         "stream_top_groups": f"""
             WITH {_SHAPED}, {_slices("shaped", 2)}
             SELECT period_start, event_type, user_group, count(*) AS booking_count,
-                   {_half_up("avg(value)")} AS avg_spend, {_half_up("avg(is_canceled) * 100", 1)} AS cancel_rate_pct
+                   {_half_up("avg(value)")} AS avg_spend, round(avg(is_canceled) * 100, 1) AS cancel_rate_pct
             FROM sliced GROUP BY period_start, event_type, user_group""",
         "stream_dedupe": "SELECT event_type, count(DISTINCT event_id) AS events FROM events GROUP BY event_type",
     }

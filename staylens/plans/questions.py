@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions import month_number, month_text, season_of_month
+from staylens.functions import month_number, month_text, season_of_month, units
 from staylens.operators import groups as G
 
 MONTHS = [f"{m:02d}" for m in range(1, 13)]
@@ -21,9 +21,8 @@ def _flag() -> Column:
 
 
 def stay_amount() -> Column:
-    """Rate times nights, to the cent; a stay without nights brings no revenue."""
-    nights = F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights")
-    return (F.col("adr").cast("decimal(12,2)") * nights).cast("decimal(18,2)")
+    """Rate times nights in cents; a stay without nights brings no revenue."""
+    return units(F.col("adr")) * (F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights"))
 
 
 def yearly_cancel_rate(bookings: DataFrame) -> DataFrame:
@@ -49,34 +48,35 @@ def country_hotel_matrix(bookings: DataFrame, hotels: list[str]) -> DataFrame:
     return G.pivot_matrix(top_countries_per_hotel(bookings), ["country"], "hotel", "total_booking", hotels)
 
 
-def _monthly(bookings: DataFrame) -> dict[str, Column]:
-    return {YEAR: F.col(YEAR), "month_num": month_text(F.col(MONTH)), "month_name": F.col(MONTH)}
+def _numbered(months: DataFrame) -> DataFrame:
+    """Add ``month_num`` to rows per month name: parsing names is for groups, not for rows."""
+    named = months.withColumnRenamed(MONTH, "month_name")
+    return named.withColumn("month_num", month_text(F.col("month_name")))
+
+
+def _months(bookings: DataFrame) -> DataFrame:
+    return _numbered(G.revenue_by_period(bookings, [YEAR, MONTH], stay_amount(), _flag() == 0))
 
 
 def monthly_revenue(bookings: DataFrame) -> DataFrame:
     """Potential, actual and lost revenue per month, and growth of the actual."""
-    months = G.revenue_by_period(bookings, _monthly(bookings), stay_amount(), _flag() == 0)
-    grown = G.period_growth(months, [YEAR, "month_num"], "revenue_actual", "growth_actual_pct")
+    grown = G.period_growth(_months(bookings), [YEAR, "month_num"], "revenue_actual", "growth_actual_pct")
     return grown.orderBy(YEAR, "month_num")
 
 
 def monthly_revenue_peaks(bookings: DataFrame) -> DataFrame:
     """N4, read off: best month of each year, its label and the mean lost share."""
-    months = G.revenue_by_period(bookings, _monthly(bookings), stay_amount(), _flag() == 0).withColumn(
-        "month", F.col("month_num").cast("int")
-    )
-    peaks = G.peak_per_period(months, YEAR, ["month"], "revenue_actual")
-    means = months.groupBy(YEAR).agg(F.avg("lost_pct").alias("mean_lost_pct"))
+    months = _months(bookings).withColumn("month", F.col("month_num").cast("int"))
+    peaks = G.peak_per_period(months, YEAR, ["month"], "revenue_actual", also=[F.avg("lost_pct").alias("mean_lost_pct")])
     label = F.concat_ws("-", F.col(YEAR).cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
-    return peaks.join(means, YEAR).select(
-        YEAR, label.alias("time_label"), "revenue_actual", "mean_lost_pct"
-    )
+    return peaks.select(YEAR, label.alias("time_label"), "revenue_actual", "mean_lost_pct")
 
 
 def peak_season_per_year(bookings: DataFrame) -> DataFrame:
     """Busiest season of each year, ties kept."""
-    season = season_of_month(month_number(F.col(MONTH)))
-    counts = G.distribution(bookings, {YEAR: F.col(YEAR), "season": season}, "total_booking")
+    months = G.distribution(bookings, [YEAR, MONTH], "n")
+    season = season_of_month(month_number(F.col(MONTH))).alias("season")
+    counts = months.groupBy(YEAR, season).agg(F.sum("n").alias("total_booking"))
     return G.top_n_per_group(counts, [YEAR], [F.desc("total_booking")], 1, method="rank", name="rnk")
 
 
@@ -126,15 +126,15 @@ def lead_time_rank(bookings: DataFrame) -> DataFrame:
 
 def top_months_per_year(bookings: DataFrame, n: int = 3) -> DataFrame:
     """Months with most revenue per year, ties kept."""
-    revenue = G.amount_by_period(bookings, _monthly(bookings), stay_amount())
+    revenue = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount()))
     top = G.top_n_per_group(revenue, [YEAR], [F.desc("revenue")], n, method="dense_rank")
     return top.withColumn("month_short", F.substring("month_name", 1, 3)).orderBy(YEAR, "rank", "month_num")
 
 
 def month_year_matrix(bookings: DataFrame) -> DataFrame:
     """Revenue of every month, years as rows."""
-    period = {YEAR: F.col(YEAR), "month_num": month_text(F.col(MONTH))}
-    revenue = G.amount_by_period(bookings, period, stay_amount())
+    names = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount(), digits=2))
+    revenue = names.groupBy(YEAR, "month_num").agg(F.round(F.sum("revenue"), 0).alias("revenue"))
     return G.pivot_matrix(revenue, [YEAR], "month_num", "revenue", MONTHS, prefix="m")
 
 

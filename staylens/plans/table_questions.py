@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions import fill_missing, season_of_month
+from staylens.functions import fill_missing, season_of_month, units
 from staylens.operators import cleaning, features, groups as G, joins, profile, quantiles, split
 from staylens.plans.questions import MONTHS
 from staylens.sources import read_table
@@ -24,10 +24,13 @@ def order_failed() -> Column:
     return flag(F.col("o_orderstatus") == "F")
 
 
+# Line revenue has four decimals: cents times whole percents.
+REVENUE_SCALE = 4
+
+
 def line_revenue() -> Column:
-    """Discounted price, exact to the hundredth of a cent."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
+    """Discounted price in hundredths of a cent."""
+    return units(F.col("l_extendedprice")) * (100 - units(F.col("l_discount")))
 
 
 def _year(name: str) -> Column:
@@ -44,7 +47,7 @@ def _month(name: str) -> Column:
 def monthly_revenue_growth(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem")
     period = {"year": _year("l_shipdate"), "month": _month("l_shipdate")}
-    months = G.revenue_by_period(lines, period, line_revenue(), F.col("l_returnflag") != "R")
+    months = G.revenue_by_period(lines, period, line_revenue(), F.col("l_returnflag") != "R", REVENUE_SCALE)
     return G.period_growth(months, ["year", "month"], "revenue_actual", "growth_actual_pct").orderBy("year", "month")
 
 
@@ -153,14 +156,16 @@ def mean_gap_rank(spark: SparkSession, folder: str) -> DataFrame:
 def top_months_per_year(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem")
     period = {"year": _year("l_shipdate"), "month": _month("l_shipdate")}
-    revenue = G.amount_by_period(lines, period, line_revenue())
+    revenue = G.amount_by_period(lines, period, line_revenue(), scale=REVENUE_SCALE)
     return G.top_n_per_group(revenue, ["year"], [F.desc("revenue")], 3, method="dense_rank")
 
 
 def month_year_matrix(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem")
-    period = {"year": _year("l_shipdate"), "month_num": F.date_format("l_shipdate", "MM")}
-    revenue = G.amount_by_period(lines, period, line_revenue())
+    period = {"year": _year("l_shipdate"), "month": _month("l_shipdate")}
+    revenue = G.amount_by_period(lines, period, line_revenue(), scale=REVENUE_SCALE).withColumn(
+        "month_num", F.lpad(F.col("month").cast("string"), 2, "0")
+    )
     return G.pivot_matrix(revenue, ["year"], "month_num", "revenue", MONTHS, prefix="m")
 
 
@@ -171,7 +176,7 @@ def status_share(spark: SparkSession, folder: str) -> DataFrame:
 def peak_month_per_year(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem")
     period = {"year": _year("l_shipdate"), "month": _month("l_shipdate")}
-    months = G.revenue_by_period(lines, period, line_revenue(), F.col("l_returnflag") != "R")
+    months = G.revenue_by_period(lines, period, line_revenue(), F.col("l_returnflag") != "R", REVENUE_SCALE)
     return G.peak_per_period(months, "year", ["month"], "revenue_actual")
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions import ALERT_LEVELS, alert_level, stable_round
+from staylens.functions import ALERT_LEVELS, alert_level, exact_sum, stable_round, units
 from staylens.operators.groups import rate_measures
 from staylens.streaming.events import known_country
 
@@ -66,7 +66,7 @@ def sliding_mean(
     measures = [
         F.count(F.lit(1)).alias("booking_count"),
         stable_round(F.avg(value), 2).alias("avg_daily_rate"),
-        F.sum(value.cast("decimal(18,2)")).cast("double").alias("revenue_proxy"),
+        exact_sum(units(value)).cast("double").alias("revenue_proxy"),
     ]
     names = ["booking_count", "avg_daily_rate", "revenue_proxy"]
     if nights is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -95,7 +95,5 @@ def replay(spark: SparkSession, result: DataFrame, keys: Sequence[str], name: st
     query = start(result, name, f"{folder}/checkpoint", mode="update", every=None, handler=write)
     query.awaitTermination()
     written = spark.read.parquet(f"{folder}/out")
-    newest = Window.partitionBy(*keys).orderBy(F.desc("batch"))
-    return (
-        written.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") == 1).drop("_age", "batch")
-    )
+    newest = F.max_by(F.struct(*[c for c in result.columns if c not in keys]), "batch")
+    return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
