@@ -15,6 +15,7 @@ from staylens.schemas import TARGET
 from staylens.session import scratch_dir
 from staylens.streaming import events as E
 from staylens.streaming import monitors as M
+from staylens.streaming.fanout import report, start_fan_out
 from staylens.streaming.run import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,13 +132,29 @@ def _monitor(name: str, keys: list[str]) -> Query:
     monitor = M.MONITORS[name][0]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        table = replay(spark, monitor(message_stream(spark, folder)), keys, name)
-        times = [c for c in ("window_start", "window_end", "period_start", "period_end") if c in table.columns]
-        return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+        return _plain_times(replay(spark, monitor(message_stream(spark, folder)), keys, name))
 
     return run
 
 
+def _fan_out(name: str) -> Query:
+    """The same report from the shared parse."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        out = scratch_dir(spark, "fan_out")
+        start_fan_out(
+            message_stream(spark, folder), f"{out}/sums", f"{out}/checkpoint", every=None
+        ).awaitTermination()
+        return _plain_times(report(spark, f"{out}/sums", name))
+
+    return run
+
+
+def _plain_times(table: DataFrame) -> DataFrame:
+    times = [c for c in ("window_start", "window_end", "period_start", "period_end") if c in table.columns]
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
 QUERIES: dict[str, Query] = {
     "booking_missing_profile": missing,
     "booking_rule_report": rules,
@@ -169,4 +186,6 @@ QUERIES: dict[str, Query] = {
     "booking_stream_alerts": _monitor("cancellation_alerts", ["window_start", "hotel", "deposit_type"]),
     "booking_stream_rates": _monitor("rate_over_time", ["period_start", "hotel", "room_type"]),
     "booking_stream_countries": _monitor("top_countries", ["period_start", "country", "hotel"]),
+    "booking_fan_out_alerts": _fan_out("cancellation_alerts"),
+    "booking_fan_out_rates": _fan_out("rate_over_time"),
 }

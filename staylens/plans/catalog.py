@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.plans import booking_questions, model_questions, stream_questions as S, table_questions as T
+from staylens.plans import booking_models, booking_questions, model_questions, stream_questions as S, table_questions as T
 from staylens.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,5 +39,5 @@ def _configured(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     table = {name: getattr(T, name) for name in _TABLE_NAMES}
     table |= {name: getattr(S, name) for name in _STREAM_NAMES}
-    table |= booking_questions.QUERIES | model_questions.QUERIES
+    table |= booking_questions.QUERIES | booking_models.QUERIES | model_questions.QUERIES
     return {name: _configured(query) for name, query in table.items()}

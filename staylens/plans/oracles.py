@@ -280,6 +280,9 @@ def _booking_sql() -> dict[str, str]:
                        round(avg(lost_pct) OVER (PARTITION BY arrival_date_year), 6) AS mean_lost_pct,
                        row_number() OVER (PARTITION BY arrival_date_year ORDER BY revenue_actual DESC, month_num) AS r
                 FROM months) t WHERE r = 1""",
+        "booking_sql_report": f"""
+            WITH {_CLEAN}
+            SELECT hotel, deposit_type, count(*) AS total_booking, {_CANCEL} AS cancel_rate FROM cleaned GROUP BY ALL""",
         "booking_features": f"WITH {_CLEAN}, {_FEATURES} SELECT * FROM model",
         "booking_missing_profile": f"WITH {_FIXED} SELECT * FROM ("
         + _profile("raw", tokens, ["children", "country", "agent", "company"])
@@ -323,6 +326,8 @@ def _booking_sql() -> dict[str, str]:
                    round(avg(is_canceled) * 100, 1) AS cancel_rate_pct
             FROM sliced GROUP BY period_start, country, hotel""",
     }
+    sql["booking_fan_out_alerts"] = sql["booking_stream_alerts"]
+    sql["booking_fan_out_rates"] = sql["booking_stream_rates"]
     return sql
 
 

@@ -15,6 +15,9 @@ from staylens.functions import ALERT_LEVELS, alert_level, exact_sum, stable_roun
 from staylens.operators.groups import rate_measures
 from staylens.streaming.events import known_country
 
+# Fixed value: windows with fewer rows say nothing about a mean.
+MIN_COUNT = 5
+
 
 def _windowed(
     events: DataFrame, time_col: str, keys: Sequence[str], duration: str, slide: str | None, watermark: str | None
@@ -60,7 +63,7 @@ def rate_alert(
 def sliding_mean(
     events: DataFrame, keys: Sequence[str], value: Column, nights: Column | None = None,
     time_col: str = "event_timestamp", duration: str = "5 minutes", slide: str = "1 minute",
-    min_count: int = 5, watermark: str | None = None,
+    min_count: int = MIN_COUNT, watermark: str | None = None,
 ) -> DataFrame:
     """Mean and sum of a rate per sliding window and key, for windows with enough rows."""
     measures = [

@@ -96,4 +96,4 @@ def replay(spark: SparkSession, result: DataFrame, keys: Sequence[str], name: st
     query.awaitTermination()
     written = spark.read.parquet(f"{folder}/out")
     newest = F.max_by(F.struct(*[c for c in result.columns if c not in keys]), "batch")
-    return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
+    return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*result.columns)

@@ -13,6 +13,7 @@ from staylens.plans import stream_questions as S
 from staylens.sources import read_table
 from staylens.streaming import events as E
 from staylens.streaming import monitors as M
+from staylens.streaming.fanout import report, start_fan_out
 from staylens.streaming.run import collect_stream, replay, run_all, start, start_monitors
 
 VALUE = T.StructType([T.StructField("value", T.StringType())])
@@ -140,6 +141,20 @@ def test_all_monitors_run_from_one_source(spark, tmp_path, capfd):
     assert {q.name for q in queries} == set(M.MONITORS)
 
 
+def test_fan_out_equals_the_monitors_and_keeps_late_events(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    first = [message(event_time=f"2024-01-01T10:0{i % 4}:10", is_canceled=int(i % 3 == 0), adr=33.35 + i) for i in range(40)]
+    late = [message(event_time="2023-12-31T09:00:00", country="ESP", deposit_type="Non Refund") for _ in range(6)]
+    write_text(folder, first[:20], late, first[20:])
+    out = str(tmp_path / "out")
+    start_fan_out(text_stream(spark, folder), out, str(tmp_path / "checkpoint"), every=None).awaitTermination()
+    static = E.parse_events(spark.createDataFrame([(x,) for x in first + late], VALUE))
+    for name, (monitor, _, _) in M.MONITORS.items():
+        expected = monitor(static)
+        assert rows(report(spark, out, name), *expected.columns) == rows(expected)
+        assert expected.count() > 0
+
+
 def test_sorting_needs_complete_output(spark, tmp_path):
     stream = E.read_stream(spark, "rate")
     with pytest.raises(ValueError):
