@@ -272,11 +272,13 @@ def clipped_histogram(
     The last bin is closed, so it also holds everything at or above ``high``.
     """
     width = (high - low) / bins
-    v = _clean(column)
+    v = F.col(column)
     clipped = F.least(F.greatest(v, F.lit(float(low))), F.lit(float(high)))
     bin_index = F.least(F.floor((clipped - low) / width), F.lit(bins - 1))
     counted = (
-        df.filter(v.isNotNull()).groupBy(bin_index.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+        df.filter(v.isNotNull() & ~F.isnan(v))
+        .groupBy(bin_index.cast("bigint").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("count"))
     )
     axis = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return axis.join(counted, "bin", "left").select(

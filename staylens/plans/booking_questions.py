@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +21,13 @@ from staylens.streaming.run import replay
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _raw(spark: SparkSession, folder: str, parents: bool = True) -> DataFrame:
-    """Raw reservations; without ``parents`` the customer-side columns and joins are left out."""
-    names = list(EXPRESSIONS) if parents else [c for c in EXPRESSIONS if c not in PARENT_COLUMNS]
+def _raw(spark: SparkSession, folder: str, parents: Sequence[str] = PARENT_COLUMNS) -> DataFrame:
+    """Raw reservations with those of the joined columns that are in ``parents``."""
+    names = [c for c in EXPRESSIONS if c not in PARENT_COLUMNS or c in parents]
     return bookings(spark, folder, names)
 
 
-def cleaned(spark: SparkSession, folder: str, parents: bool = True) -> DataFrame:
+def cleaned(spark: SparkSession, folder: str, parents: Sequence[str] = PARENT_COLUMNS) -> DataFrame:
     return cleaning.clean(_raw(spark, folder, parents))
 
 
@@ -42,7 +42,7 @@ def rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Equal rows without agent and company, on the hotel-side columns."""
-    raw = _raw(spark, folder, parents=False)
+    raw = _raw(spark, folder, parents=())
     nobody = is_missing("agent", "string") & is_missing("company", "string")
     keys = ["hotel", "is_canceled", "meal", "reserved_room_type", "adults", "stays_in_week_nights", "agent", "company"]
     return profile.duplicate_groups(raw, keys, nobody)
@@ -66,17 +66,17 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bounds(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cleaning.fix_types(_raw(spark, folder, parents=False))
+    rows = cleaning.fix_types(_raw(spark, folder, parents=()))
     table = quantiles.iqr_bounds(rows, ["adr", "adults", "children", "babies"], exact=True)
     return table.select("column", *[F.round(c, 6).alias(c) for c in table.columns[1:]])
 
 
 def rate_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return quantiles.clipped_histogram(_raw(spark, folder, parents=False), "adr", 0, 500, 50)
+    return quantiles.clipped_histogram(_raw(spark, folder, parents=()), "adr", 0, 500, 50)
 
 
 def counts(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_counts(_raw(spark, folder, parents=False))
+    return cleaning.clean_counts(_raw(spark, folder, parents=()))
 
 
 def model_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,23 +91,23 @@ def split_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lead_times(spark: SparkSession, folder: str) -> DataFrame:
-    table = Q.lead_time_rank(cleaned(spark, folder))
+    table = Q.lead_time_rank(cleaned(spark, folder, ("lead_time", "customer_type")))
     return table.withColumn("avg_lead_time", F.round("avg_lead_time", 6))
 
 
 def revenue_peaks(spark: SparkSession, folder: str) -> DataFrame:
-    table = Q.monthly_revenue_peaks(cleaned(spark, folder, parents=False))
+    table = Q.monthly_revenue_peaks(cleaned(spark, folder, parents=()))
     return table.withColumn("mean_lost_pct", F.round("mean_lost_pct", 6))
 
 
 def country_matrix(spark: SparkSession, folder: str) -> DataFrame:
     """Spaces in hotel names are replaced so that every engine accepts the column names."""
     hotels = ["City Hotel", "Resort Hotel"]
-    table = Q.country_hotel_matrix(cleaned(spark, folder), hotels)
+    table = Q.country_hotel_matrix(cleaned(spark, folder, ("country",)), hotels)
     return table.withColumnsRenamed({h: h.replace(" ", "_") for h in hotels})
 
 
-def _question(report: Callable[[DataFrame], DataFrame], parents: bool = False) -> Query:
+def _question(report: Callable[[DataFrame], DataFrame], *parents: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return report(cleaned(spark, folder, parents))
 
@@ -168,14 +168,14 @@ QUERIES: dict[str, Query] = {
     "booking_split_balance": split_balance,
     "booking_yearly_cancel_rate": _question(Q.yearly_cancel_rate),
     "booking_hotel_rank_per_year": _question(Q.hotel_rank_per_year),
-    "booking_top_countries": _question(Q.top_countries_per_hotel, parents=True),
+    "booking_top_countries": _question(Q.top_countries_per_hotel, "country"),
     "booking_country_matrix": country_matrix,
     "booking_monthly_revenue": _question(Q.monthly_revenue),
     "booking_revenue_peaks": revenue_peaks,
     "booking_peak_season": _question(Q.peak_season_per_year),
     "booking_top_rooms": _question(Q.top_rooms_per_hotel),
-    "booking_main_channel": _question(Q.main_channel_per_segment, parents=True),
-    "booking_segment_rank": _question(Q.segment_rank, parents=True),
+    "booking_main_channel": _question(Q.main_channel_per_segment, "market_segment", "distribution_channel"),
+    "booking_segment_rank": _question(Q.segment_rank, "market_segment"),
     "booking_guest_loyalty": _question(Q.guest_loyalty),
     "booking_request_rank": _question(Q.request_rank),
     "booking_lead_time_rank": lead_times,

@@ -168,6 +168,25 @@ _FEATURES = f"""
                      round(CAST(previous_cancellations AS DOUBLE)
                            / (previous_cancellations + previous_bookings_not_canceled + 1), 6) AS cancellation_rate
               FROM cleaned)"""
+# Text of all model columns in table order, as the split hashes it.
+_MODEL_COLUMNS = [
+    "hotel", "is_canceled", "lead_time", "meal", "country", "market_segment", "distribution_channel",
+    "is_repeated_guest", "reserved_room_type", "deposit_type", "agent", "days_in_waiting_list", "customer_type",
+    "required_car_parking_spaces", "total_of_special_requests", "total_guests", "total_nights",
+    "total_estimated_cost", "is_family", "total_past_bookings", "cancellation_rate",
+]
+_MODEL_TEXT = "concat_ws('|', '1', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in _MODEL_COLUMNS) + ")"
+_TAGGED = f"""{_FEATURES.replace("round(CAST", "(CAST").replace(", 6) AS cancellation_rate", ") AS cancellation_rate")},
+    tagged AS (SELECT *, CASE WHEN CAST('0x' || substr(md5({_MODEL_TEXT}), 1, 8) AS BIGINT) % 10000 < 8000
+                              THEN 'Train' ELSE 'Test' END AS dataset FROM model)"""
+_CATEGORICAL = [
+    "hotel", "meal", "country", "market_segment", "distribution_channel", "reserved_room_type", "deposit_type",
+    "customer_type", "agent",
+]
+_NUMBERS = [
+    "lead_time", "total_guests", "total_nights", "total_estimated_cost", "total_past_bookings", "cancellation_rate",
+    "days_in_waiting_list", "required_car_parking_spaces", "total_of_special_requests", "is_repeated_guest", "is_family",
+]
 _SENT = f"""{_FIXED},
     sent AS (SELECT * REPLACE (coalesce(country, 'Unknown') AS country), CAST(date_trunc('week', reservation_status_date) AS TIMESTAMP) AS ts
              FROM fixed WHERE adr >= 0 AND adults > 0)"""
@@ -185,6 +204,10 @@ def _top(counts: str, group: str, order: str, n: int, name: str, method: str = "
     WHERE {name} <= {n}"""
 
 
+def _values(names: list[str]) -> str:
+    return ", ".join(f"({i}, '{name}')" for i, name in enumerate(names))
+
+
 _LOGIC_TESTS = {
     "no_guests": f"({_GUESTS}) = 0",
     "no_nights_and_free": f"({_NIGHTS}) = 0 AND adr = 0",
@@ -217,6 +240,9 @@ def _booking_sql() -> dict[str, str]:
     )
     nobody = "(agent IS NULL OR agent IN ('NULL', 'NA')) AND (company IS NULL OR company IN ('NULL', 'NA'))"
     tokens = {c: f"{c} IS NULL OR {c} IN ('NULL', 'NA')" for c in ("children", "country", "agent", "company")}
+    categories = " UNION ALL ".join(
+        f"SELECT {p} AS c, {c} AS x FROM tagged WHERE dataset = 'Train'" for p, c in enumerate(_CATEGORICAL)
+    )
     alert = (
         "CASE WHEN cancel_rate_pct >= 60 THEN 'CRITICAL' WHEN cancel_rate_pct >= 50 THEN 'WARNING'"
         " WHEN cancel_rate_pct >= 37 THEN 'ELEVATED' ELSE 'NORMAL' END AS alert"
@@ -284,6 +310,16 @@ def _booking_sql() -> dict[str, str]:
             WITH {_CLEAN}
             SELECT hotel, deposit_type, count(*) AS total_booking, {_CANCEL} AS cancel_rate FROM cleaned GROUP BY ALL""",
         "booking_features": f"WITH {_CLEAN}, {_FEATURES} SELECT * FROM model",
+        "booking_split_balance": f"""
+            WITH {_CLEAN}, {_TAGGED}, c AS (SELECT dataset, is_canceled, count(*) AS count FROM tagged GROUP BY ALL)
+            SELECT *, round(count * 100e0 / sum(count) OVER (PARTITION BY dataset), 2) AS percentage FROM c""",
+        "booking_feature_mapping": f"""
+            WITH {_CLEAN}, {_TAGGED}, v AS ({categories}),
+                 i AS (SELECT c, x, row_number() OVER (PARTITION BY c ORDER BY count(*) DESC, x) AS r FROM v GROUP BY c, x),
+                 o AS (SELECT row_number() OVER (ORDER BY c, r) - 1 AS k, name || '_vec_' || x AS name
+                       FROM i JOIN (VALUES {_values(_CATEGORICAL)}) n(p, name) ON c = p)
+            SELECT CAST(k AS INT) AS feature_index, name AS feature_name FROM o UNION ALL
+            SELECT CAST(p + (SELECT count(*) FROM o) AS INT), name FROM (VALUES {_values(_NUMBERS)}) t(p, name)""",
         "booking_missing_profile": f"WITH {_FIXED} SELECT * FROM ("
         + _profile("raw", tokens, ["children", "country", "agent", "company"])
         + ") p WHERE missing > 0",

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from staylens.schemas import RAW
 from staylens.sources import read_table
 
-PARENT_COLUMNS = {"country", "market_segment", "distribution_channel", "customer_type", "lead_time"}
+_FROM_CUSTOMER = {"country", "market_segment"}
+_FROM_ORDER = _FROM_CUSTOMER | {"distribution_channel", "customer_type", "lead_time"}
+# Columns that come from a joined table, in schema order.
+PARENT_COLUMNS = ("lead_time", "country", "market_segment", "distribution_channel", "customer_type")
 
 EXPRESSIONS = {
     "hotel": "CASE WHEN l_suppkey % 3 = 0 THEN 'Resort Hotel' ELSE 'City Hotel' END",
@@ -78,17 +81,19 @@ def _projection(columns: list[str], dialect: dict[str, str]) -> list[str]:
 def bookings(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
     """Raw reservations; ``columns`` restricts them to what the caller reads.
 
-    The parent tables are joined only if one of the columns needs them. They are joined
-    to each other first, so the order lines, by far the largest input, are shuffled once.
+    A parent table is joined only if one of the columns needs it. Parents are joined to
+    each other first, so the order lines, by far the largest input, are shuffled once.
     """
     names = columns or list(EXPRESSIONS)
     rows = read_table(spark, folder, "lineitem")
-    if PARENT_COLUMNS & set(names):
-        customers = read_table(spark, folder, "customer").join(
-            read_table(spark, folder, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left"
-        )
-        orders = read_table(spark, folder, "orders").withColumnRenamed("o_custkey", "c_custkey")
-        parents = orders.join(customers, "c_custkey", "left").withColumnRenamed("o_orderkey", "l_orderkey")
+    if _FROM_ORDER & set(names):
+        parents = read_table(spark, folder, "orders").withColumnsRenamed({"o_orderkey": "l_orderkey", "o_custkey": "c_custkey"})
+        if _FROM_CUSTOMER & set(names):
+            customers = read_table(spark, folder, "customer")
+            if "country" in names:
+                nations = read_table(spark, folder, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+                customers = customers.join(nations, "c_nationkey", "left")
+            parents = parents.join(customers, "c_custkey", "left")
         rows = rows.join(parents, "l_orderkey", "left")
     return rows.selectExpr(*_projection(names, _SPARK))
 

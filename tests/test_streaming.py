@@ -162,5 +162,5 @@ def test_sorting_needs_complete_output(spark, tmp_path):
 
 
 def test_message_options():
-    options = E.kafka_options("host:9092", "hotel-bookings")
+    options = E.kafka_options("host:9092", "reservations")
     assert options["maxOffsetsPerTrigger"] == "1000" and options["startingOffsets"] == "latest"
