@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wider than the noise of summing doubles, narrower than any real distance from a tie.
+# Wider than the noise of summing doubles, which grows with the size of the result.
 _TIE_NOISE = 1e-9
+_RELATIVE_NOISE = 1e-12
 
 
 def stable_round(value: Column, digits: int = 2) -> Column:
@@ -17,5 +18,5 @@ def stable_round(value: Column, digits: int = 2) -> Column:
     are exact instead (see :mod:`staylens.functions.money`).
     """
     scale = float(10**digits)
-    size = F.floor(F.abs(value) * scale + (0.5 + _TIE_NOISE))
+    size = F.floor(F.abs(value) * (scale * (1 + _RELATIVE_NOISE)) + (0.5 + _TIE_NOISE))
     return F.when(value < 0, -size).otherwise(size) / F.lit(scale)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions import is_missing
+from staylens.functions import is_missing, stable_round
 from staylens.operators import cleaning, features, profile, quantiles, split
 from staylens.plans import questions as Q
 from staylens.plans.stays import EXPRESSIONS, PARENT_COLUMNS, bookings
@@ -60,7 +60,7 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
     )
     # The quartiles are sketches; `bounds` has exact ones.
     return table.select(
-        "column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
+        "column", "count", stable_round(F.col("mean"), 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
         "min", "max", "min_text", "max_text",
     )
 

@@ -100,10 +100,10 @@ def _tuned(kind: str):
 
 
 def tuned_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    """The best logistic regression of the grid on the test rows."""
+    """The best model of each grid on the test rows."""
     train, test, _ = _vectors(spark, folder)
-    best, _ = classify.tune("lr", train)
-    return evaluate.compare({"Logistic Regression (Tuned)": evaluate.scored(best.transform(test))})
+    best = {f"{name} (Tuned)": classify.tune(kind, train)[0] for kind, name in classify.NAMES.items()}
+    return evaluate.compare({name: evaluate.scored(model.transform(test)) for name, model in best.items()})
 
 
 def _lr_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ def _rate(flag: str) -> str:
 def _half_up(value: str, digits: int = 2) -> str:
     """For means of amounts, whose ties would otherwise hang on the order of the sum."""
     scale = 10**digits
-    return f"floor(({value}) * {scale}e0 + 0.5e0 + 1e-9) / {scale}e0"
+    return f"floor(({value}) * ({scale}e0 * (1e0 + 1e-12)) + 0.5e0 + 1e-9) / {scale}e0"
 
 
 _REVENUE = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -74,7 +74,7 @@ def _rules(tests: dict[str, str], source: str) -> str:
 
 def _summary(numeric: list[str], text: list[str], source: str) -> str:
     parts = [
-        f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,"
+        f"SELECT '{c}' AS \"column\", count({c}) AS count, {_half_up(f"avg({c})", 6)} AS mean, round(stddev_samp({c}), 6) AS stddev,"
         f" CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,"
         f" CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM {source}"
         for c in numeric

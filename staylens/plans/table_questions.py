@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions import fill_missing, season_of_month, units
+from staylens.functions import fill_missing, season_of_month, stable_round, units
 from staylens.operators import cleaning, features, groups as G, joins, profile, quantiles, split
 from staylens.plans.questions import MONTHS
 from staylens.sources import read_table
@@ -233,7 +233,7 @@ def numeric_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Moments and range; mean and deviation cut to six places for comparison."""
     summary = profile.numeric_summary(read_table(spark, folder, "lineitem"), [*SUMMARY_COLUMNS, "l_returnflag"])
     return summary.select(
-        "column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
+        "column", "count", stable_round(F.col("mean"), 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
         "min", "max", "min_text", "max_text",
     )
 
