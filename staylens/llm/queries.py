@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import language_id, mixing, record_files, sampled_splitters, simhash_ball
+from staylens.llm import language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks
 from staylens.session import configure
 
 END_ID = 1
@@ -36,6 +36,15 @@ def op5_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash_ball.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op7_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return template_leaks.leaks(docs, table(spark, folder, "benchmark")).drop("text_hash")
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -57,7 +66,7 @@ def op10_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_mix_sources, op5_simhash_components, op9_token_records, op10_shard_by_bytes)
+    for f in (op1_language_id, op2_mix_sources, op5_simhash_components, op6_secret_scan, op7_template_leaks, op9_token_records, op10_shard_by_bytes)
 }
 
 # Sources in order of code points weigh 3, 1, 2, ...; the level is the largest candidate over the number of capped
