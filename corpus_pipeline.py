@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import language_id, mixing, queries, record_files, simhash_ball
+from staylens.llm import language_id, mixing, queries, record_files, simhash_ball, template_leaks
 from staylens.llm.common import fresh_name, written
 
 
@@ -25,6 +25,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash_ball.deduplicated(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return template_leaks.decontaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document may come twice."""
     return mixing.mixed(docs)
@@ -38,6 +43,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("language_id", identify_language),
     ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
     ("source_mixing", mix),
     ("token_records", write_tokens),
 ]
