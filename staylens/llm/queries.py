@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks
+from staylens.llm import language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks, vp_tree
 from staylens.session import configure
 
 END_ID = 1
@@ -45,6 +45,11 @@ def op7_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return template_leaks.leaks(docs, table(spark, folder, "benchmark")).drop("text_hash")
 
 
+def op8_vp_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return vp_tree.neighbours(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10, factor=vp_tree.EXACT)
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -66,7 +71,7 @@ def op10_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_mix_sources, op5_simhash_components, op6_secret_scan, op7_template_leaks, op9_token_records, op10_shard_by_bytes)
+    for f in (op1_language_id, op2_mix_sources, op5_simhash_components, op6_secret_scan, op7_template_leaks, op8_vp_neighbours, op9_token_records, op10_shard_by_bytes)
 }
 
 # Sources in order of code points weigh 3, 1, 2, ...; the level is the largest candidate over the number of capped
@@ -98,4 +103,18 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.h = d.h
 """
 
-ORACLES: dict[str, str] = {"op2_mix_sources": _MIX}
+_NEAREST = """
+WITH v AS (
+  SELECT vec_id, embedding AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1),
+    i -> (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE)) * (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE))), (x, y) -> x + y)) AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_mix_sources": _MIX, "op8_vp_neighbours": _NEAREST}
