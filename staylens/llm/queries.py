@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.llm import language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks, vp_tree
+from staylens.llm import (
+    chat_repair, language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks, vp_tree, warc_revisits,
+)
 from staylens.session import configure
 
 END_ID = 1
@@ -31,6 +33,17 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("takes") * F.col("size")).alias("taken"))
 
 
+def op3_resolve_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc_revisits.resolve(warc_revisits.captures_of_pages(table(spark, folder, "pages")))
+    lines = F.transform("headers", lambda e: F.concat_ws(": ", e["name"], e["value"]))
+    return found.select("record_id", "canonical_url", "outcome", "refers_to", F.array_join(lines, "\n").alias("headers"))
+
+
+def op4_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    found = chat_repair.repaired(table(spark, folder, "conversations"))
+    return found.select(F.col("conv").cast("bigint").alias("conv_id"), "turn", "role", "action", "role_out", "inserted", "cost", "piece")
+
+
 def op5_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_ball.components(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash_ball.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
@@ -71,7 +84,7 @@ def op10_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_mix_sources, op5_simhash_components, op6_secret_scan, op7_template_leaks, op8_vp_neighbours, op9_token_records, op10_shard_by_bytes)
+    for f in (op1_language_id, op2_mix_sources, op3_resolve_revisits, op4_chat_repair, op5_simhash_components, op6_secret_scan, op7_template_leaks, op8_vp_neighbours, op9_token_records, op10_shard_by_bytes)
 }
 
 # Sources in order of code points weigh 3, 1, 2, ...; the level is the largest candidate over the number of capped
@@ -107,14 +120,42 @@ _NEAREST = """
 WITH v AS (
   SELECT vec_id, embedding AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (
   SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1),
-    i -> (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE)) * (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE))), (x, y) -> x + y)) AS score
+    lambda i: (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE)) * (CAST(q.e[i] AS DOUBLE) - CAST(v.e[i] AS DOUBLE))), lambda x, y: x + y)) AS score
   FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 100 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
 SELECT * FROM r WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op2_mix_sources": _MIX, "op8_vp_neighbours": _NEAREST}
+# Captures are those that the operator's module makes from pages; the join is an as-of join on address and time.
+_REVISITS = r"""
+WITH u AS (
+  SELECT page_id, html, md5(html) AS digest, 't' || CAST(page_id AS VARCHAR) AS date,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i:https?)://(?:(?i:www)\d*\.)?', '') AS bare FROM pages),
+c AS (
+  SELECT *, lower(regexp_replace(regexp_extract(bare, '^[^/?]*'), ':(?:80|443)$', ''))
+      || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(?i:utm_[a-z]+)='))), '&') AS query FROM u),
+p AS (SELECT *, place || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS address FROM c),
+f AS (SELECT page_id * 2 AS id, page_id * 3600 AS t, address, digest, date, coalesce(octet_length(encode(html)), 0) AS size FROM p WHERE html IS NOT NULL),
+r AS (
+  SELECT page_id * 2 + 1 AS id, page_id * 3600 + 1800 AS t, address, date,
+    CASE WHEN page_id % 7 = 6 THEN NULL WHEN page_id % 5 = 4 THEN '"other"' ELSE 'W/"' || digest || '"' END AS tag FROM p),
+j AS (
+  SELECT r.*, f.id AS found, f.digest, f.date AS of_date, f.size,
+    CASE WHEN f.id IS NULL THEN 'no_response'
+      WHEN r.tag IS NOT NULL THEN CASE WHEN regexp_replace(r.tag, '^W/', '') = '"' || f.digest || '"' THEN 'resolved' ELSE 'validator_mismatch' END
+      WHEN r.date = f.date THEN 'resolved' ELSE 'validator_mismatch' END AS outcome
+  FROM r ASOF LEFT JOIN f ON r.address = f.address AND r.t > f.t)
+SELECT id AS record_id, address AS canonical_url, outcome, CASE WHEN outcome = 'resolved' THEN found END AS refers_to,
+  CASE WHEN outcome = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: ' || size, 'content-type: text/html',
+      'date: ' || of_date, 'etag: ' || coalesce(tag, '"' || digest || '"'), 'last-modified: ' || date)
+    ELSE concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: 0', 'etag: ' || tag, 'last-modified: ' || date, 'server: cache') END AS headers
+FROM j
+"""
+
+ORACLES: dict[str, str] = {"op3_resolve_revisits": _REVISITS, "op2_mix_sources": _MIX, "op8_vp_neighbours": _NEAREST}

@@ -34,6 +34,8 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 CHUNK = 1 << 15
+MEAN_VARIANTS = (64 + 1057) // 2
+TASK_VARIANTS = 1 << 22
 MAX_ROUNDS = 60
 
 
@@ -125,7 +127,11 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def links(distinct: DataFrame) -> DataFrame:
     """Verified links ``(a, b)``, ``a < b``, that connect all fingerprints within the radius."""
-    met = variants(distinct).repartition("point").sortWithinPartitions("point")
+    # Few rows become very many here, so the number of tasks follows their number and not the bytes read.
+    spark, count = distinct.sparkSession, distinct.count()
+    emit = max(spark.sparkContext.defaultParallelism, -(-count * MEAN_VARIANTS // TASK_VARIANTS))
+    meet = max(int(spark.conf.get("spark.sql.shuffle.partitions")), emit)
+    met = variants(distinct.repartition(emit, "fp")).repartition(meet, "point").sortWithinPartitions("point")
     return met.mapInPandas(_stars, "a bigint, b bigint").distinct()
 
 
@@ -167,7 +173,7 @@ def _prints(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFram
 
 def _roots(prints: DataFrame) -> DataFrame:
     """``(_fp, root, component_id)``, one row a distinct fingerprint."""
-    names = prints.groupBy("fp").agg(F.min("id").alias("id"))
+    names = written(prints.groupBy("fp").agg(F.min("id").alias("id")), "distinct-fingerprints")
     roots = contract(links(names.select("fp")))
     named = names.join(roots, names["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))

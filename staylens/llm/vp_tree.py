@@ -206,7 +206,9 @@ def neighbours(
     # Every block is sent to every group of shards; each meets the group's shards by equal keys.
     sent = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     shards = shards.withColumn("group", F.pmod(F.xxhash64("part", "n"), F.lit(groups)).cast("int"))
-    held = shards.join(sent.select("block", "group", "dim"), ["group", "dim"]).select("block", "group", "part", "n", "dim", "ids", "points")
+    pairs = sent.select(F.col("block").alias("to"), F.col("group").alias("of"), F.col("dim").alias("length"))
+    held = shards.join(pairs, (F.col("group") == F.col("of")) & (F.col("dim") == F.col("length")))
+    held = held.select("to", "of", "part", "n", "dim", "ids", "points")
 
     def search(held: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({"query_id": [], "tag": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "tag": "int64", "vec_id": "int64"})]
@@ -220,7 +222,7 @@ def neighbours(
             found.append(pd.DataFrame({"query_id": ids[row], "tag": tags[row], "vec_id": best.ids[row, column], "score": best.dist[row, column]}))
         return pd.concat(found, ignore_index=True)
 
-    met = held.groupBy("block", "group").cogroup(sent.groupBy("block", "group"))
+    met = held.groupBy("to", "of").cogroup(sent.groupBy("block", "group"))
     near = met.applyInPandas(search, "query_id bigint, tag bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id", "tag").orderBy("score", "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
