@@ -11,8 +11,8 @@ Queries travel in blocks to groups of shards (a stated query set against all row
 a task holds one block and one group, and keeps the k nearest of the block over the group. What
 is left are k rows for each query and group, cut by a ranked window.
 
-Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no part,
-and vectors of other length than the query's are no candidates; equal distances go to the
+Defined results: rows without an id and vectors that are null, empty, zero or hold a null or
+non-finite component take no part, and vectors of other length than the query's are no candidates; equal distances go to the
 smaller id; rows that share the query's id are never its neighbours; repeated query rows count
 once per different vector; fewer than k candidates give all of them.
 """
@@ -197,10 +197,10 @@ def neighbours(
     """``(query_id, rank, vec_id, score)``: the k nearest rows of ``vectors`` for each row of ``queries``."""
     def sound(df: DataFrame) -> DataFrame:
         rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-        return rows.filter(usable(F.col("vector")))
+        return rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
 
     shards = written(_chunks(sound(vectors), SHARD_ROWS), "vector-shards")
-    asked = sound(queries).filter(F.col("id").isNotNull()).distinct()
+    asked = sound(queries).distinct()
     blocks = written(_chunks(asked, BLOCK_ROWS), "query-blocks").withColumn("block", F.xxhash64("part", "n"))
     groups = max(1, -(-shards.count() // GROUP_SHARDS))
     # Every block is sent to every group of shards; each meets the group's shards by equal keys.
