@@ -31,7 +31,7 @@ DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 1000
 CENTROIDS = 4
 #: A rejected text is less similar than this share of the least similar sample text of its length class.
-MARGIN = 0.6
+MARGIN = 0.3
 ROUNDS = 12
 BLOCK = 128
 UNKNOWN = "und"

@@ -102,6 +102,7 @@ def mixture_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
         state = written(found, "mix-step")
     # One hash value is left per source: take it if that comes nearer to the target.
     cut = F.col("prefix") + F.when(F.col("left") * 2 >= F.col("edge_size"), 1).otherwise(0)
+    cut = F.when(F.col("target") > F.col("whole") * F.col("source_size"), cut).otherwise(0)
     return written(state.select(*keys, cut.alias("cut")), "mix-plan")
 
 

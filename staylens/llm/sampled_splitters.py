@@ -29,6 +29,8 @@ RANGES_PER_SHARD = 256
 SAMPLES_PER_RANGE = 16
 #: A range is overfull above this multiple of its fair share.
 OVERFULL = 2.0
+#: Overfull ranges are sampled again so many times as densely.
+RESAMPLE = 4
 ROUNDS = 8
 
 
@@ -36,13 +38,13 @@ def byte_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint")
 
 
-def _sample(keyed: DataFrame, rate: float) -> pd.DataFrame:
+def _sample(keyed: DataFrame, rate: float, turn: int = 0) -> pd.DataFrame:
     """Keys drawn with chance min(1, size * rate), by a hash of the key: reruns draw the same.
 
     A row for which size * rate exceeds 1 counts as that many draws.
     """
     chance = F.col("size") * F.lit(rate)
-    draw = F.shiftrightunsigned(F.xxhash64("k", "d", F.lit("draw")), 11) / F.lit(float(1 << 53))
+    draw = F.shiftrightunsigned(F.xxhash64("k", "d", F.lit(turn)), 11) / F.lit(float(1 << 53))
     drawn = keyed.filter(draw < chance).select("k", "d", F.greatest(chance, F.lit(1.0)).alias("w"))
     return drawn.toPandas().sort_values(["k", "d"], ignore_index=True)
 
@@ -93,13 +95,13 @@ def find_splitters(keyed: DataFrame, ranges: int, samples: int = SAMPLES_PER_RAN
     splitters = _quantiles(_sample(keyed, ranges * samples / total), ranges)
     size, count = _weigh(keyed, splitters)
     fair = total / ranges
-    for _ in range(ROUNDS):
+    for turn in range(1, ROUNDS + 1):
         over = np.flatnonzero((size > OVERFULL * fair) & (count > 1))
         if not len(over):
             break
         inside = _with_range(keyed, splitters).filter(F.col("range").isin([int(x) for x in over])).drop("range")
-        drawn = _sample(inside, samples / fair)
-        more = {s for s in _quantiles(drawn, max(2, 2 * int(np.ceil(size[over].sum() / fair))))} - set(splitters)
+        drawn = _sample(inside, RESAMPLE * samples / fair, turn)
+        more = set(_quantiles(drawn, 4 * int(np.ceil(size[over].sum() / fair)))) - set(splitters)
         if not more:
             break
         splitters = sorted([*splitters, *more])
