@@ -9,8 +9,16 @@ _LOW_BITS = 20
 
 
 def units(amount: Column, scale: int = 2) -> Column:
-    """Amount as a whole number of smallest units (cents for ``scale`` 2)."""
-    return F.floor(amount * F.lit(float(10**scale)) + 0.5)
+    """Amount as a whole number of smallest units (cents for ``scale`` 2).
+
+    Choose a scale finer than the amounts' digits and round the sum, not the rows. NaN,
+    infinities and amounts beyond a long are refused: none of them may count as 0.
+    """
+    number = amount.cast("double")
+    scaled = F.floor(number * F.lit(float(10**scale)) + 0.5)
+    bad = F.isnan(number) | (F.abs(number) >= F.lit(float(1 << 62) / 10**scale))
+    refused = F.raise_error(F.concat(F.lit("not an amount: "), number.cast("string"))).cast("bigint")
+    return F.when(bad, refused).otherwise(scaled)
 
 
 def exact_sum(whole: Column, scale: int = 2) -> Column:

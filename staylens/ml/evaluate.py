@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -11,9 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BINS = 10_000
-# Scores closer than this to 0 or 1 share the outermost step.
-_EDGE = 1e-9
+from staylens.session import settled
+
+#: Parts into which scores are cut for running sums.
+STEPS = 10_000
 
 
 def scored(predictions: DataFrame) -> DataFrame:
@@ -79,49 +79,52 @@ def metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _step(score: Column, bins: int, scale: str) -> Column:
-    if scale == "linear":
-        position = score
-    else:
-        odds = F.greatest(score, F.lit(_EDGE)) / F.greatest(1 - score, F.lit(_EDGE))
-        position = (F.ln(odds) / math.log(1 / _EDGE) + 1) / 2
-    return F.least(F.floor(position * bins), F.lit(bins - 1)).cast("int")
-
-
-def _threshold(step: Column, bins: int, scale: str) -> Column:
-    position = step / F.lit(float(bins))
-    if scale == "linear":
-        return position
-    return 1 / (1 + F.exp((1 - 2 * position) * math.log(1 / _EDGE)))
+def _curve(predictions: DataFrame) -> DataFrame:
+    """``(score, positives, negatives, tp, fp)``: one row a distinct score, with counts at or above it.
 
-
-def roc_points(predictions: DataFrame, bins: int = 1_000, scale: str = "logit") -> DataFrame:
-    """Points of the ROC curve, scores grouped into ``bins`` steps.
-
-    The running sums go over at most ``bins`` rows. Steps are equal in log-odds, so that
-    scores crowded near 0 and 1 stay apart, or equal in score (``linear``).
+    Rows are counted per score first, so a score that many rows share is one row. The running
+    sums are exact at any size: steps of the score are summed and put in order (``STEPS`` rows
+    in one window), and within a step the sums run on their own.
     """
-    if not 1 <= bins <= MAX_BINS:
-        raise ValueError(f"bins must be between 1 and {MAX_BINS}")
-    counted = predictions.groupBy(_step(F.col("score"), bins, scale).alias("bin")).agg(
+    counted = predictions.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")
     )
-    down = Window.orderBy(F.desc("bin"))
-    whole = Window.partitionBy()
-    return counted.select(
-        _threshold(F.col("bin"), bins, scale).alias("threshold"),
-        F.try_divide(F.sum("negatives").over(down), F.sum("negatives").over(whole)).alias("fpr"),
-        F.try_divide(F.sum("positives").over(down), F.sum("positives").over(whole)).alias("tpr"),
+    # Only a way to part the work: equal scores share a step and a larger score never has a smaller one.
+    step = F.least(F.greatest(F.floor(F.col("score") * STEPS), F.lit(0)), F.lit(STEPS - 1)).cast("int")
+    rows = settled(counted.withColumn("step", step), "scores")
+    above = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = rows.groupBy("step").agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    steps = steps.select("step", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("p", "n")])
+    inside = Window.partitionBy("step").orderBy(F.desc("score"))
+    return rows.join(steps, "step").select(
+        "score", "positives", "negatives",
+        (F.col("p_above") + F.sum("positives").over(inside)).alias("tp"),
+        (F.col("n_above") + F.sum("negatives").over(inside)).alias("fp"),
     )
 
 
-def roc_auc(predictions: DataFrame, bins: int = 1_000, scale: str = "logit") -> DataFrame:
-    """Area under the stepped curve, by trapezoids, as one row."""
-    down = Window.orderBy(F.desc("threshold"))
-    points = roc_points(predictions, bins, scale)
-    width = F.col("fpr") - F.lag("fpr", 1, 0.0).over(down)
-    height = (F.col("tpr") + F.lag("tpr", 1, 0.0).over(down)) / 2
-    return points.select((width * height).alias("area")).agg(F.sum("area").alias("roc_auc"))
+def roc_points(predictions: DataFrame) -> DataFrame:
+    """Every point of the ROC curve: the start (0, 0) without a threshold, then one a distinct score."""
+    curve = _curve(predictions)
+    whole = curve.agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n")).first()
+    p, n = whole["p"] or 0, whole["n"] or 0
+    points = curve.select(
+        F.col("score").alias("threshold"),
+        F.try_divide(F.col("fp").cast("double"), F.lit(float(n))).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.lit(float(p))).alias("tpr"),
+    )
+    start = predictions.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    return start.unionByName(points)
+
+
+def roc_auc(predictions: DataFrame) -> DataFrame:
+    """Exact area under the curve as one row: by trapezoids, in whole numbers until the last step."""
+    curve = _curve(predictions)
+    # Twice the area of a score's trapezoid, its width in negatives and its heights in positives.
+    twice = F.col("negatives").cast("decimal(38,0)") * (2 * F.col("tp") - F.col("positives"))
+    sums = curve.agg(F.sum(twice).alias("a"), F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    pairs = 2 * F.col("p").cast("double") * F.col("n").cast("double")
+    return sums.select(F.try_divide(F.col("a").cast("double"), pairs).alias("roc_auc"))
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:

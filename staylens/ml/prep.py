@@ -47,20 +47,13 @@ def build(columns: Columns = Columns()) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def check_categories(df: DataFrame, columns: Columns, limit: int = 100_000) -> None:
-    """Refuse columns with too many values for an index table, before any fit collects them."""
-    if not columns.categorical:
-        return
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns.categorical]).first()
-    wide = {c: row[c] for c in columns.categorical if row[c] > limit}
-    if wide:
-        raise ValueError(f"too many categories to one-hot encode: {wide}")
-
-
-def fit(train: DataFrame, columns: Columns = Columns(), limit: int = 100_000) -> PipelineModel:
-    """Fit on training rows only; the three passes of the fit share one computation of them."""
+def fit(train: DataFrame, columns: Columns = Columns()) -> PipelineModel:
+    """Fit on training rows only; the passes of the fit share one computation of them.
+
+    The model holds one name per category, as a linear model holds one weight per category:
+    both grow with the categories and not with the rows.
+    """
     with kept(train) as rows:
-        check_categories(rows, columns, limit)
         return build(columns).fit(rows)
 
 

@@ -52,7 +52,11 @@ def repeated_without_history() -> Column:
 
 
 def fix_types(df: DataFrame) -> DataFrame:
-    """``children`` as a number: missing counts as none, other text must be a number."""
+    """``children`` as a number: missing counts as none.
+
+    Other text that is no number becomes null, and a null guest count removes the row later;
+    :func:`clean_counts` reports how many rows that are.
+    """
     if dict(df.dtypes)["children"] != "string":
         return df.withColumn("children", F.coalesce(F.col("children").cast("int"), F.lit(0)))
     text = F.col("children")
@@ -117,10 +121,20 @@ def clean(df: DataFrame) -> DataFrame:
     return cap_outliers(impute(checked.drop("company")))
 
 
+def unreadable_children(df: DataFrame) -> Column:
+    """True for text that is neither missing nor a number."""
+    if dict(df.dtypes)["children"] != "string":
+        return F.lit(False)
+    text = F.col("children")
+    return text.isNotNull() & ~text.isin(*MISSING_TOKENS) & text.try_cast("double").try_cast("int").isNull()
+
+
 def clean_counts(df: DataFrame) -> DataFrame:
-    """Rows at the start, after the rules and after the caps: one scan for all three."""
-    return fix_types(df).agg(
+    """Rows at the start, with an unreadable guest count, after the rules and after the caps: one scan."""
+    marked = df.withColumn("_unreadable", unreadable_children(df))
+    return fix_types(marked).agg(
         F.count(F.lit(1)).alias("rows_raw"),
+        F.count_if("_unreadable").alias("rows_unreadable"),
         F.count_if(passes_rules()).alias("rows_after_rules"),
         F.count_if(passes_rules() & within_caps()).alias("rows_after_caps"),
     )

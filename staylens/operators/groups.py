@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.functions import exact_sum, stable_round
+from staylens.session import settled
 
 _RANKS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -96,9 +97,14 @@ def top_n_per_group(
     """Best ``n`` rows per group; ``rank`` and ``dense_rank`` keep ties.
 
     The rank filter sits right on the window, so each task cuts its groups down to the
-    candidates before the shuffle and a huge group never meets in one task. With
-    ``row_number`` the order must end in a unique column to be repeatable.
+    candidates before the shuffle and a huge group never meets in one task. Spark does so
+    for ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000); it is raised
+    here where ``n`` is larger. With ``row_number`` the order must end in a unique column to
+    be repeatable.
     """
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if n > int(df.sparkSession.conf.get(limit)):
+        df.sparkSession.conf.set(limit, str(n))
     window = Window.partitionBy(*partition).orderBy(*order)
     ranked = df.withColumn(name, _RANKS[method]().over(window))
     kept = ranked.filter(F.col(name) <= n)
@@ -179,19 +185,27 @@ def share_of_total(
 
 
 def pivot_matrix(
-    df: DataFrame, row: Sequence[str], column: str, value: str, values: Sequence, prefix: str = ""
+    df: DataFrame, row: Sequence[str], column: str, value: str, values: Sequence = (), prefix: str = "",
+    unknown: str = "unknown",
 ) -> DataFrame:
-    """One column per entry of ``values``; combinations that do not occur are 0.
+    """One column per value of ``column``; combinations that do not occur are 0.
 
-    The value list is fixed, so no extra pass looks for the distinct values.
+    ``values`` come first and are always there; values found besides them follow in order,
+    and a null gets the column ``unknown``. ``df`` holds aggregated rows; they are written
+    once, as finding the values and filling the cells both read them.
     """
-    cells = [
-        F.coalesce(F.sum(F.when(F.col(column) == v, F.col(value))), F.lit(0).cast(dict(df.dtypes)[value])).alias(
-            f"{prefix}{v}"
-        )
-        for v in values
-    ]
-    return df.groupBy(*row).agg(*cells)
+    rows = settled(df, "pivot")
+    found = {r[0] for r in rows.select(column).distinct().collect()}  # they become columns, so they are few
+    names = list(values) + sorted(v for v in found - set(values) if v is not None)
+    zero = F.lit(0).cast(dict(df.dtypes)[value])
+
+    def cell(test: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col(value))), zero).alias(f"{prefix}{name}")
+
+    cells = [cell(F.col(column) == v, v) for v in names]
+    if None in found:
+        cells.append(cell(F.col(column).isNull(), unknown))
+    return rows.groupBy(*row).agg(*cells)
 
 
 def flag_label_rate(

@@ -79,6 +79,33 @@ def duplicate_groups(
     return groups.filter(F.col("copies") > 1).orderBy(F.desc("copies"), *names)
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """SHA-256 over all columns; a null differs from any value, and fields cannot run together."""
+    texts = [F.col(c).cast("string") for c in columns]
+    sized = [F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat_ws("|", *sized), 256)
+
+
+def full_row_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows that occur more than once, each once, with ``copies``.
+
+    Only digests are shuffled to count the copies. The columns are then fetched for the
+    repeated digests, and met by them alone.
+    """
+    names = list(columns or df.columns)
+    marked = df.select(*names, row_digest(names).alias("_digest"))
+    repeated = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    met = marked.join(repeated, "_digest")
+    # Copies are equal in every column, so any of them will do.
+    first = met.groupBy("_digest").agg(*[F.first(c).alias(c) for c in names], F.first("copies").alias("copies"))
+    return first.drop("_digest")
+
+
+def full_row_summary(df: DataFrame) -> DataFrame:
+    """Like :func:`duplicate_summary` over all columns, shuffling one digest per row."""
+    return duplicate_summary(df.select(row_digest(df.columns).alias("_digest")), ["_digest"])
+
+
 def duplicate_texts(df: DataFrame, text: str, row_id: str) -> DataFrame:
     """Groups of rows with the same long text, keyed by its SHA-256 digest.
 
@@ -104,11 +131,13 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str | Column] | None = None)
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str], accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], accuracy: int = 10_000, quartiles: bool = True
 ) -> DataFrame:
     """Count, mean, deviation, range and approximate quartiles per column, typed.
 
-    Text columns get count and text range; their numeric measures are null.
+    Text columns get count and text range; their numeric measures are null. Without
+    ``quartiles`` no sketch is built (see :func:`staylens.operators.quantiles.with_quartiles`
+    for exact ones).
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     aggregates, entries = [], []
@@ -125,8 +154,9 @@ def numeric_summary(
             aggregates += [
                 F.avg(column).alias(f"mean{i}"),
                 F.stddev_samp(column).alias(f"sd{i}"),
-                F.percentile_approx(column.cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
             ]
+            if quartiles:
+                aggregates.append(F.percentile_approx(column.cast("double"), [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"))
 
         def pick(expression: Column, empty: Column = null_number) -> Column:
             return expression if numeric else empty
@@ -138,9 +168,10 @@ def numeric_summary(
                 pick(F.col(f"mean{i}").cast("double")).alias("mean"),
                 pick(F.col(f"sd{i}")).alias("stddev"),
                 pick(F.col(f"lo{i}").cast("double")).alias("min"),
-                pick(F.col(f"q{i}")[0]).alias("p25"),
-                pick(F.col(f"q{i}")[1]).alias("p50"),
-                pick(F.col(f"q{i}")[2]).alias("p75"),
+                *[
+                    (pick(F.col(f"q{i}")[at]) if quartiles else null_number).alias(name_)
+                    for at, name_ in enumerate(("p25", "p50", "p75"))
+                ],
                 pick(F.col(f"hi{i}").cast("double")).alias("max"),
                 (null_text if numeric else F.col(f"lo{i}").cast("string")).alias("min_text"),
                 (null_text if numeric else F.col(f"hi{i}").cast("string")).alias("max_text"),

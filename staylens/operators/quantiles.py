@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,16 @@ _GRID = [i / 200 for i in range(201)]
 _ACCURACY = 10_000
 
 
+def _place(value: float) -> int:
+    """Doubles in order as whole numbers, infinities included: neighbours differ by 1."""
+    bits = struct.unpack("<q", struct.pack("<d", value + 0.0))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _double(place: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", place if place >= 0 else -place | -(1 << 63)))[0]
+
+
 @dataclass
 class _Target:
     """One order statistic: the value at 0-based ``rank`` of ``column``.
@@ -44,8 +55,8 @@ class _Target:
         high = self.grid[min(len(self.grid) - 1, math.ceil(at) + 1)]
         if (low, high) != (self.low, self.high):
             return low, high
-        # Few values hold most rows: halve the range instead.
-        return self.low, self.low + (self.high - self.low) / 2
+        # Few values hold most rows: halve the range instead, counted in doubles, which always ends.
+        return self.low, _double((_place(self.low) + _place(self.high)) // 2)
 
 
 def _clean(name: str) -> Column:
@@ -63,7 +74,6 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
         inside = (v >= low) & (v <= high)
         aggregates += [
             F.count_if(v < low).alias(f"lt_low{i}"),
-            F.count_if(v < high).alias(f"lt_high{i}"),
             F.count_if(v <= high).alias(f"le_high{i}"),
             F.approx_count_distinct(F.when(inside, v)).alias(f"distinct{i}"),
             F.percentile_approx(F.when(inside, v), _GRID, _ACCURACY).alias(f"grid{i}"),
@@ -71,12 +81,12 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> None:
         proposals.append((low, high))
     row = df.agg(*aggregates).first()
     for i, (t, (low, high)) in enumerate(zip(targets, proposals)):
-        lt_low, lt_high, le_high = row[f"lt_low{i}"], row[f"lt_high{i}"], row[f"le_high{i}"]
+        lt_low, le_high = row[f"lt_low{i}"], row[f"le_high{i}"]
         if t.rank < lt_low:
-            t.high, t.inside, t.grid = low, lt_low - t.below, None
+            t.high, t.inside, t.grid = _double(_place(low) - 1), lt_low - t.below, None
         elif t.rank >= le_high:
-            t.inside -= lt_high - t.below
-            t.low, t.below, t.grid = high, lt_high, None
+            t.inside -= le_high - t.below
+            t.low, t.below, t.grid = _double(_place(high) + 1), le_high, None
         else:
             t.low, t.high, t.below = low, high, lt_low
             t.inside, t.grid = le_high - lt_low, row[f"grid{i}"]
@@ -183,12 +193,25 @@ def exact_quantiles(
             continue
         low_rank, high_rank, share = where
         low, high = value[(c, low_rank)], value[(c, high_rank)]
-        rows.append((c, float(p), n, low + (high - low) * share))
+        # Equal neighbours need no step between them, and infinities have none.
+        between = low if low == high or share == 0 else low + (high - low) * share
+        rows.append((c, float(p), n, between))
     return df.sparkSession.createDataFrame(
         rows, "column string, probability double, n bigint, value double"
     )
 
 
+def with_quartiles(summary: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill ``p25``, ``p50`` and ``p75`` of a summary of ``df`` exactly, as values that occur."""
+    exact = exact_quantiles(df, columns, [0.25, 0.5, 0.75], method="rank")
+    names = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    wide = exact.groupBy(F.col("column").alias("_column")).agg(
+        *[F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"_{n}") for n, p in names.items()]
+    )
+    joined = summary.join(wide, F.col("column") == F.col("_column"), "left")
+    return joined.select(*[F.col(f"_{c}").alias(c) if c in names else c for c in summary.columns])
+
+
 def iqr_bounds(
     df: DataFrame,
     columns: Sequence[str],

@@ -7,12 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylens.functions import is_missing, stable_round
+from staylens.functions import is_missing
 from staylens.operators import cleaning, features, profile, quantiles, split
 from staylens.plans import questions as Q
 from staylens.plans.stays import EXPRESSIONS, PARENT_COLUMNS, bookings
 from staylens.schemas import TARGET
-from staylens.session import scratch_dir
+from staylens.plans.table_questions import rounded_summary
+from staylens.session import scratch_dir, settled
 from staylens.streaming import events as E
 from staylens.streaming import monitors as M
 from staylens.streaming.fanout import report, start_fan_out
@@ -48,21 +49,26 @@ def duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return profile.duplicate_groups(raw, keys, nobody)
 
 
+def full_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows equal in all 32 columns."""
+    return profile.full_row_duplicates(_raw(spark, folder))
+
+
+def full_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.full_row_summary(_raw(spark, folder))
+
+
 def summary(spark: SparkSession, folder: str) -> DataFrame:
-    table = profile.numeric_summary(
-        cleaning.fix_types(_raw(spark, folder)),
-        [
-            "is_canceled", "lead_time", "arrival_date_year", "arrival_date_month", "arrival_date_week_number",
-            "stays_in_weekend_nights", "stays_in_week_nights", "adults", "children", "babies", "meal",
-            "is_repeated_guest", "previous_cancellations", "previous_bookings_not_canceled", "booking_changes",
-            "days_in_waiting_list", "adr", "required_car_parking_spaces", "total_of_special_requests",
-        ],
-    )
-    # The quartiles are sketches; `bounds` has exact ones.
-    return table.select(
-        "column", "count", stable_round(F.col("mean"), 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
-        "min", "max", "min_text", "max_text",
-    )
+    # Measured once: the quartiles take several passes over these columns.
+    names = [
+        "is_canceled", "lead_time", "arrival_date_year", "arrival_date_month", "arrival_date_week_number",
+        "stays_in_weekend_nights", "stays_in_week_nights", "adults", "children", "babies", "meal",
+        "is_repeated_guest", "previous_cancellations", "previous_bookings_not_canceled", "booking_changes",
+        "days_in_waiting_list", "adr", "required_car_parking_spaces", "total_of_special_requests",
+    ]
+    rows = settled(cleaning.fix_types(_raw(spark, folder)).select(*names), "summary")
+    numbers = [c for c in names if c not in ("arrival_date_month", "meal")]
+    return rounded_summary(quantiles.with_quartiles(profile.numeric_summary(rows, names, quartiles=False), rows, numbers))
 
 
 def bounds(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,9 +108,8 @@ def revenue_peaks(spark: SparkSession, folder: str) -> DataFrame:
 
 def country_matrix(spark: SparkSession, folder: str) -> DataFrame:
     """Spaces in hotel names are replaced so that every engine accepts the column names."""
-    hotels = ["City Hotel", "Resort Hotel"]
-    table = Q.country_hotel_matrix(cleaned(spark, folder, ("country",)), hotels)
-    return table.withColumnsRenamed({h: h.replace(" ", "_") for h in hotels})
+    table = Q.country_hotel_matrix(cleaned(spark, folder, ("country",)))
+    return table.toDF(*[c.replace(" ", "_") for c in table.columns])
 
 
 def _question(report: Callable[[DataFrame], DataFrame], *parents: str) -> Query:
@@ -159,6 +164,8 @@ QUERIES: dict[str, Query] = {
     "booking_missing_profile": missing,
     "booking_rule_report": rules,
     "booking_duplicate_groups": duplicates,
+    "booking_full_row_duplicates": full_duplicates,
+    "booking_full_row_summary": full_summary,
     "booking_numeric_summary": summary,
     "booking_iqr_bounds": bounds,
     "booking_rate_histogram": rate_histogram,
@@ -186,6 +193,8 @@ QUERIES: dict[str, Query] = {
     "booking_stream_alerts": _monitor("cancellation_alerts", ["window_start", "hotel", "deposit_type"]),
     "booking_stream_rates": _monitor("rate_over_time", ["period_start", "hotel", "room_type"]),
     "booking_stream_countries": _monitor("top_countries", ["period_start", "country", "hotel"]),
+    "booking_fan_out_counts": _fan_out("bookings_per_minute"),
+    "booking_fan_out_countries": _fan_out("top_countries"),
     "booking_fan_out_alerts": _fan_out("cancellation_alerts"),
     "booking_fan_out_rates": _fan_out("rate_over_time"),
 }

@@ -17,7 +17,7 @@ _TABLE_NAMES = [
     "nation_segment_matrix", "peak_season_per_year", "top_brands_per_type", "top_priority_per_segment",
     "segment_rate_rank", "flag_label_rate", "ordinal_rate_rank", "mean_gap_rank", "top_months_per_year",
     "month_year_matrix", "status_share", "peak_month_per_year", "missing_profile", "rule_report",
-    "duplicate_summary", "duplicate_groups", "duplicate_documents", "line_copies", "numeric_summary",
+    "duplicate_summary", "duplicate_groups", "duplicate_documents", "full_row_summary", "full_row_duplicates", "line_copies", "numeric_summary",
     "summary_quartiles", "iqr_bounds", "iqr_bounds_approximate", "box_stats", "clipped_histogram",
     "discrete_distribution", "clean_orders", "impute_sentinel", "cap_outliers", "derived_features",
     "anti_join_orders", "hash_split_balance", "anti_join_test_set",

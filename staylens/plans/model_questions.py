@@ -116,12 +116,12 @@ def confusion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def roc(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluate.roc_points(_lr_scores(spark, folder), bins=200)
+    return evaluate.roc_points(_lr_scores(spark, folder))
 
 
 def importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _, _ = _vectors(spark, folder)
-    model = classify.fit("gbt", train, maxIter=20)
+    model = classify.fit("gbt", train)
     return evaluate.feature_importance(model, prep.feature_mapping(train, COLUMNS))
 
 
@@ -139,7 +139,7 @@ def rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def rule_metrics(spark: SparkSession, folder: str) -> DataFrame:
     predictions = rule_predictions(spark, folder)
-    area = evaluate.roc_auc(predictions, 100, "linear").scalar()
+    area = evaluate.roc_auc(predictions).scalar()
     table = evaluate.metrics(predictions).withColumn("roc_auc", area)
     return table.select(*[F.round(c, 6).alias(c) for c in table.columns])
 
@@ -149,7 +149,7 @@ def rule_confusion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_roc(spark: SparkSession, folder: str) -> DataFrame:
-    points = evaluate.roc_points(rule_predictions(spark, folder), 100, "linear")
+    points = evaluate.roc_points(rule_predictions(spark, folder))
     return points.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 

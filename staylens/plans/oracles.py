@@ -6,7 +6,7 @@ Only the shaping of reservation rows shares its expressions with the Spark side.
 from __future__ import annotations
 
 from staylens.plans.questions import MONTHS
-from staylens.plans.stays import bookings_sql
+from staylens.plans.stays import EXPRESSIONS, bookings_sql
 
 
 def _rate(flag: str) -> str:
@@ -76,10 +76,11 @@ def _summary(numeric: list[str], text: list[str], source: str) -> str:
     parts = [
         f"SELECT '{c}' AS \"column\", count({c}) AS count, {_half_up(f"avg({c})", 6)} AS mean, round(stddev_samp({c}), 6) AS stddev,"
         f" CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,"
-        f" CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM {source}"
+        + "".join(f" CAST(quantile_disc({c}, {q / 100}) AS DOUBLE) AS p{q}," for q in (25, 50, 75))
+        + f" CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM {source}"
         for c in numeric
     ] + [
-        f"SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) FROM {source}" for c in text
+        f"SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL, min({c}), max({c}) FROM {source}" for c in text
     ]
     return " UNION ALL ".join(parts)
 
@@ -328,6 +329,12 @@ def _booking_sql() -> dict[str, str]:
             WITH {_FIXED}
             SELECT hotel, is_canceled, meal, reserved_room_type, adults, stays_in_week_nights, agent, company,
                    count(*) AS copies FROM raw WHERE {nobody} GROUP BY ALL HAVING count(*) > 1""",
+        "booking_full_row_duplicates": f"""
+            WITH {_FIXED} SELECT *, count(*) AS copies FROM raw GROUP BY ALL HAVING count(*) > 1""",
+        "booking_full_row_summary": f"""
+            WITH {_FIXED}, g AS (SELECT count(*) AS copies FROM (SELECT * FROM raw) r GROUP BY {', '.join(EXPRESSIONS)})
+            SELECT CAST(sum(copies) AS BIGINT) AS total_rows, count(*) AS distinct_rows,
+                   count(*) FILTER (WHERE copies > 1) AS repeated_groups, CAST(sum(copies - 1) AS BIGINT) AS surplus_rows FROM g""",
         "booking_numeric_summary": f"WITH {_FIXED} "
         + _summary(_SUMMARY_NUMBERS, ["arrival_date_month", "meal"], "fixed"),
         "booking_iqr_bounds": _bounds(["adr", "adults", "children", "babies"], "fixed").replace(
@@ -336,7 +343,9 @@ def _booking_sql() -> dict[str, str]:
         "booking_rate_histogram": _histogram("adr", "raw", 500, 50).replace("WITH c", f"WITH {_FIXED}, c"),
         "booking_clean_counts": f"""
             WITH {_FIXED}
-            SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {_KEEP}) AS rows_after_rules,
+            SELECT count(*) AS rows_raw,
+                   (SELECT count(*) FROM raw WHERE children NOT IN ('NA', 'NULL') AND TRY_CAST(children AS DOUBLE) IS NULL) AS rows_unreadable,
+                   count(*) FILTER (WHERE {_KEEP}) AS rows_after_rules,
                    count(*) FILTER (WHERE {_KEEP} AND {_CAPS}) AS rows_after_caps FROM fixed""",
         "booking_stream_counts": f"""
             WITH {_SENT}
@@ -362,11 +371,20 @@ def _booking_sql() -> dict[str, str]:
                    round(avg(is_canceled) * 100, 1) AS cancel_rate_pct
             FROM sliced GROUP BY period_start, country, hotel""",
     }
+    sql["booking_fan_out_counts"] = sql["booking_stream_counts"]
+    sql["booking_fan_out_countries"] = sql["booking_stream_countries"]
     sql["booking_fan_out_alerts"] = sql["booking_stream_alerts"]
     sql["booking_fan_out_rates"] = sql["booking_stream_rates"]
     return sql
 
 
+_LINE_COLUMNS = (
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,"
+    " l_linestatus, l_shipdate"
+)
+_COPIES = "SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_partkey % 10 = 0"
+
+
 def _table_sql() -> dict[str, str]:
     nations = """SELECT c_mktsegment, n_name, count(*) AS total_booking
                  FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
@@ -461,6 +479,12 @@ def _table_sql() -> dict[str, str]:
             FROM (SELECT user_id, event_type, count(*) AS copies FROM events GROUP BY ALL) g""",
         "duplicate_groups": """
             SELECT user_id, event_type, count(*) AS copies FROM events GROUP BY ALL HAVING count(*) > 1""",
+        "full_row_summary": f"""
+            SELECT CAST(sum(copies) AS BIGINT) AS total_rows, count(*) AS distinct_rows,
+                   count(*) FILTER (WHERE copies > 1) AS repeated_groups, CAST(sum(copies - 1) AS BIGINT) AS surplus_rows
+            FROM (SELECT count(*) AS copies FROM ({_COPIES}) c GROUP BY {_LINE_COLUMNS}) g""",
+        "full_row_duplicates": f"""
+            SELECT {_LINE_COLUMNS}, count(*) AS copies FROM ({_COPIES}) c GROUP BY ALL HAVING count(*) > 1""",
         "duplicate_documents": """
             SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first_doc_id
             FROM documents GROUP BY text HAVING count(*) > 1""",
@@ -560,11 +584,10 @@ _SCORED = """
                       CASE WHEN n_chars / 8000e0 >= 0.05 THEN 1e0 ELSE 0e0 END AS prediction
                FROM documents JOIN labels USING (doc_id))"""
 _CURVE = f"""{_SCORED},
-    steps AS (SELECT least(floor(score * 100), 99) AS b, count(*) FILTER (WHERE label = 1) AS p,
-                     count(*) FILTER (WHERE label = 0) AS n FROM scored GROUP BY 1),
-    curve AS (SELECT b / 100e0 AS threshold, sum(n) OVER d / CAST(sum(n) OVER () AS DOUBLE) AS fpr,
-                     sum(p) OVER d / CAST(sum(p) OVER () AS DOUBLE) AS tpr
-              FROM steps WINDOW d AS (ORDER BY b DESC))"""
+    curve AS (SELECT DISTINCT score AS threshold,
+                     count(*) FILTER (WHERE label = 0) OVER d / CAST(count(*) FILTER (WHERE label = 0) OVER () AS DOUBLE) AS fpr,
+                     count(*) FILTER (WHERE label = 1) OVER d / CAST(count(*) FILTER (WHERE label = 1) OVER () AS DOUBLE) AS tpr
+              FROM scored WINDOW d AS (ORDER BY score DESC))"""
 
 
 def _model_sql() -> dict[str, str]:
@@ -592,7 +615,9 @@ def _model_sql() -> dict[str, str]:
             WITH {_SCORED}
             SELECT label, count(*) FILTER (WHERE prediction = 0) AS predicted_0,
                    count(*) FILTER (WHERE prediction = 1) AS predicted_1 FROM scored GROUP BY label""",
-        "rule_roc": f"WITH {_CURVE} SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM curve",
+        "rule_roc": f"""
+            WITH {_CURVE} SELECT threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM curve
+            UNION ALL SELECT CAST(NULL AS DOUBLE), 0e0, 0e0""",
         "rule_metrics": f"""
             WITH {_CURVE},
                  classes AS (SELECT c, (SELECT count(*) FROM scored WHERE label = c) AS actual,
@@ -605,9 +630,8 @@ def _model_sql() -> dict[str, str]:
                    round(sum(pr * actual) / sum(actual), 6) AS weighted_precision,
                    round(sum(re * actual) / sum(actual), 6) AS weighted_recall,
                    round(sum(coalesce(2 * pr * re / nullif(pr + re, 0), 0) * actual) / sum(actual), 6) AS f1,
-                   round((SELECT sum((fpr - f0) * (tpr + t0) / 2) FROM (
-                       SELECT fpr, tpr, lag(fpr, 1, 0) OVER (ORDER BY threshold DESC) AS f0,
-                              lag(tpr, 1, 0) OVER (ORDER BY threshold DESC) AS t0 FROM curve) k), 6) AS roc_auc
+                   round((SELECT avg(CASE WHEN a.score > b.score THEN 1e0 WHEN a.score = b.score THEN 0.5e0 ELSE 0e0 END)
+                          FROM scored a JOIN scored b ON a.label = 1 AND b.label = 0), 6) AS roc_auc
             FROM rates""",
     }
 

@@ -20,9 +20,13 @@ def _flag() -> Column:
     return F.col("is_canceled")
 
 
+# Rates are taken to six places, so that only sums are rounded.
+AMOUNT_SCALE = 6
+
+
 def stay_amount() -> Column:
-    """Rate times nights in cents; a stay without nights brings no revenue."""
-    return units(F.col("adr")) * (F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights"))
+    """Rate times nights in millionths; a stay without nights brings no revenue."""
+    return units(F.col("adr"), AMOUNT_SCALE) * (F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights"))
 
 
 def yearly_cancel_rate(bookings: DataFrame) -> DataFrame:
@@ -43,9 +47,9 @@ def top_countries_per_hotel(bookings: DataFrame, n: int = 5) -> DataFrame:
     return G.top_n_per_group(counts, ["hotel"], [F.desc("total_booking"), F.asc("country")], n, name="rn")
 
 
-def country_hotel_matrix(bookings: DataFrame, hotels: list[str]) -> DataFrame:
-    """N3 as a matrix: one row per listed country, one column per hotel, 0 where absent."""
-    return G.pivot_matrix(top_countries_per_hotel(bookings), ["country"], "hotel", "total_booking", hotels)
+def country_hotel_matrix(bookings: DataFrame) -> DataFrame:
+    """N3 as a matrix: one row per listed country, one column per hotel found, 0 where absent."""
+    return G.pivot_matrix(top_countries_per_hotel(bookings), ["country"], "hotel", "total_booking")
 
 
 def _numbered(months: DataFrame) -> DataFrame:
@@ -55,7 +59,7 @@ def _numbered(months: DataFrame) -> DataFrame:
 
 
 def _months(bookings: DataFrame) -> DataFrame:
-    return _numbered(G.revenue_by_period(bookings, [YEAR, MONTH], stay_amount(), _flag() == 0))
+    return _numbered(G.revenue_by_period(bookings, [YEAR, MONTH], stay_amount(), _flag() == 0, AMOUNT_SCALE))
 
 
 def monthly_revenue(bookings: DataFrame) -> DataFrame:
@@ -126,14 +130,14 @@ def lead_time_rank(bookings: DataFrame) -> DataFrame:
 
 def top_months_per_year(bookings: DataFrame, n: int = 3) -> DataFrame:
     """Months with most revenue per year, ties kept."""
-    revenue = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount()))
+    revenue = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount(), scale=AMOUNT_SCALE))
     top = G.top_n_per_group(revenue, [YEAR], [F.desc("revenue")], n, method="dense_rank")
     return top.withColumn("month_short", F.substring("month_name", 1, 3)).orderBy(YEAR, "rank", "month_num")
 
 
 def month_year_matrix(bookings: DataFrame) -> DataFrame:
     """Revenue of every month, years as rows."""
-    names = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount(), digits=2))
+    names = _numbered(G.amount_by_period(bookings, [YEAR, MONTH], stay_amount(), scale=AMOUNT_SCALE, digits=2))
     revenue = names.groupBy(YEAR, "month_num").agg(F.round(F.sum("revenue"), 0).alias("revenue"))
     return G.pivot_matrix(revenue, [YEAR], "month_num", "revenue", MONTHS, prefix="m")
 

@@ -24,13 +24,13 @@ def order_failed() -> Column:
     return flag(F.col("o_orderstatus") == "F")
 
 
-# Line revenue has four decimals: cents times whole percents.
-REVENUE_SCALE = 4
+# Price and discount are taken to four places each, so that only sums are rounded.
+REVENUE_SCALE = 8
 
 
 def line_revenue() -> Column:
-    """Discounted price in hundredths of a cent."""
-    return units(F.col("l_extendedprice")) * (100 - units(F.col("l_discount")))
+    """Discounted price in units of ``REVENUE_SCALE`` places."""
+    return units(F.col("l_extendedprice"), 4) * (10_000 - units(F.col("l_discount"), 4))
 
 
 def _year(name: str) -> Column:
@@ -74,8 +74,7 @@ def top_nations_per_segment(spark: SparkSession, folder: str) -> DataFrame:
 
 def nation_segment_matrix(spark: SparkSession, folder: str) -> DataFrame:
     top = top_nations_per_segment(spark, folder)
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    return G.pivot_matrix(top, ["n_name"], "c_mktsegment", "total_booking", segments)
+    return G.pivot_matrix(top, ["n_name"], "c_mktsegment", "total_booking")
 
 
 def peak_season_per_year(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,6 +214,21 @@ def duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
     return profile.duplicate_groups(read_table(spark, folder, "events"), ["user_id", "event_type"])
 
 
+def full_row_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line twice where its part is a tenth one: copies are counted on all columns."""
+    return profile.full_row_summary(_with_copies(spark, folder))
+
+
+def full_row_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.full_row_duplicates(_with_copies(spark, folder))
+
+
+def _with_copies(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read_table(spark, folder, "lineitem")
+    times = F.when(F.col("l_partkey") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return lines.withColumn("_copy", F.explode(times)).drop("_copy")
+
+
 def duplicate_documents(spark: SparkSession, folder: str) -> DataFrame:
     return profile.duplicate_texts(read_table(spark, folder, "documents"), "text", "doc_id")
 
@@ -230,11 +244,16 @@ SUMMARY_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_li
 
 
 def numeric_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """Moments and range; mean and deviation cut to six places for comparison."""
-    summary = profile.numeric_summary(read_table(spark, folder, "lineitem"), [*SUMMARY_COLUMNS, "l_returnflag"])
+    """Moments, range and exact quartiles; mean and deviation cut to six places for comparison."""
+    lines = read_table(spark, folder, "lineitem")
+    summary = profile.numeric_summary(lines, [*SUMMARY_COLUMNS, "l_returnflag"], quartiles=False)
+    return rounded_summary(quantiles.with_quartiles(summary, lines, SUMMARY_COLUMNS))
+
+
+def rounded_summary(summary: DataFrame) -> DataFrame:
     return summary.select(
         "column", "count", stable_round(F.col("mean"), 6).alias("mean"), F.round("stddev", 6).alias("stddev"),
-        "min", "max", "min_text", "max_text",
+        "min", "p25", "p50", "p75", "max", "min_text", "max_text",
     )
 
 

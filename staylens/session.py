@@ -59,6 +59,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/staylens/{label}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if it is not there, in whatever store it names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: for small results that are read twice."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Give iterative fits a reliable place to cut their lineage."""
     context = spark.sparkContext

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from staylens.schemas import RAW
 
@@ -18,9 +19,19 @@ def read_bookings(
 ) -> DataFrame:
     """CSV with a header row, tokens such as ``NULL`` kept as text.
 
-    FAILFAST by default: a shifted or mistyped column must not turn into nulls unseen.
+    Columns are found by their name in the header, in whatever order the file has them; a
+    missing one fails. FAILFAST by default: a shifted row or a mistyped value must not turn
+    into a null unseen.
     """
-    return spark.read.schema(schema).csv(path, header=True, mode=mode)
+    rows = spark.read.csv(path, header=True, mode=mode)
+    missing = [f.name for f in schema.fields if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"no such columns in the header: {missing}")
+
+    def typed(name: str, kind: DataType) -> Column:
+        return F.col(name).cast(kind) if mode == "FAILFAST" else F.col(name).try_cast(kind)
+
+    return rows.select(*[typed(f.name, f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

@@ -70,14 +70,11 @@ def read_stream(spark: SparkSession, source: str, path: str | None = None, schem
     return reader.load(path) if path else reader.load()
 
 
-def kafka_options(servers: str, topic: str, per_trigger: int = 1000, start: str = "latest") -> dict[str, str]:
-    """Options of the message source: one topic, new messages only, bounded batches."""
+def kafka_options(servers: str, topic: str, per_trigger: int | None = None, start: str = "latest") -> dict[str, str]:
+    """Options of the message source: one topic, new messages only; ``per_trigger`` bounds a batch."""
+    limit = {"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {}
     return {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": start,
-        "maxOffsetsPerTrigger": str(per_trigger),
-        "failOnDataLoss": "false",
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start, "failOnDataLoss": "false", **limit,
     }
 
 

@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from staylens.functions import alert_level, stable_round, units
-from staylens.session import kept
-from staylens.streaming.events import known_country
+from staylens.session import kept, make_folder
+from staylens.streaming.events import dedupe, known_country
 from staylens.streaming.monitors import MIN_COUNT
 from staylens.streaming.run import start
 
-_SUMS = ["total", "confirmed", "canceled", "cents", "rated", "nights", "stays"]
+# Rates are summed in millionths; a long holds nine million million of them.
+AMOUNT_SCALE = 6
+AMOUNT = 10**AMOUNT_SCALE
+_SUMS = ["total", "confirmed", "canceled", "amount", "rated", "nights", "stays"]
 
 
 @dataclass(frozen=True)
@@ -39,7 +42,7 @@ def _rate(digits: int):
 
 
 def _mean_rate():
-    return stable_round(F.try_divide(F.col("cents") / 100, F.col("rated")), 2)
+    return stable_round(F.try_divide(F.col("amount") / AMOUNT, F.col("rated")), 2)
 
 
 def _counts(t: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ def _rates(t: DataFrame) -> DataFrame:
     return t.filter(F.col("total") >= MIN_COUNT).select(
         F.col("window_start").alias("period_start"), F.col("window_end").alias("period_end"), "hotel",
         F.col("reserved_room_type").alias("room_type"), F.col("total").alias("booking_count"),
-        _mean_rate().alias("avg_daily_rate"), (F.col("cents") / 100).alias("revenue_proxy"),
+        _mean_rate().alias("avg_daily_rate"), F.round(F.col("amount") / AMOUNT, 2).alias("revenue_proxy"),
         stable_round(F.try_divide(F.col("nights"), F.col("stays")), 1).alias("avg_stay_nights"),
     )
 
@@ -91,7 +94,7 @@ def sums(events: DataFrame, summary: Summary) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count_if(flag == 0).alias("confirmed"),
         F.count_if(flag == 1).alias("canceled"),
-        F.sum(units(F.col("adr"))).alias("cents"),
+        F.sum(units(F.col("adr"), AMOUNT_SCALE)).alias("amount"),
         F.count("adr").alias("rated"),
         F.sum(nights).alias("nights"),
         F.count(nights).alias("stays"),
@@ -101,8 +104,16 @@ def sums(events: DataFrame, summary: Summary) -> DataFrame:
     )
 
 
-def start_fan_out(events: DataFrame, folder: str, checkpoint: str, every: str | None = "1 minute") -> StreamingQuery:
-    """Write the sums of every batch below ``folder``, one sub-folder per monitor."""
+def start_fan_out(
+    events: DataFrame, folder: str, checkpoint: str, every: str | None = "1 minute", resent_within: str | None = None
+) -> StreamingQuery:
+    """Write the sums of every batch below ``folder``, one sub-folder per monitor.
+
+    ``resent_within`` drops messages whose id came before, within that span of event time;
+    events later than it are then dropped too, as their ids are no longer known.
+    """
+    if resent_within:
+        events = dedupe(events, delay=resent_within)
 
     def write(batch: DataFrame, number: int) -> None:
         with kept(batch) as rows:
@@ -115,7 +126,9 @@ def start_fan_out(events: DataFrame, folder: str, checkpoint: str, every: str |
 def report(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Current state of one monitor: the sums of all batches so far."""
     summary = SUMMARIES[name]
-    written = spark.read.parquet(f"{folder}/{name}")
+    make_folder(spark, f"{folder}/{name}")  # there may be no batch yet
+    keys = ["window_start timestamp", "window_end timestamp", *[f"{k} string" for k in summary.keys]]
+    written = spark.read.schema(", ".join([*keys, *[f"{c} bigint" for c in _SUMS]])).parquet(f"{folder}/{name}")
     merged = written.groupBy("window_start", "window_end", *summary.keys).agg(
         *[F.sum(c).alias(c) for c in _SUMS]
     )

@@ -69,7 +69,7 @@ def sliding_mean(
     measures = [
         F.count(F.lit(1)).alias("booking_count"),
         stable_round(F.avg(value), 2).alias("avg_daily_rate"),
-        exact_sum(units(value)).cast("double").alias("revenue_proxy"),
+        F.round(exact_sum(units(value, 6), 6), 2).cast("double").alias("revenue_proxy"),
     ]
     names = ["booking_count", "avg_daily_rate", "revenue_proxy"]
     if nights is not None:

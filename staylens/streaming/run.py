@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from staylens.session import scratch_dir
+from staylens.session import make_folder, scratch_dir
 from staylens.streaming.monitors import MONITORS
 
 
@@ -44,10 +45,14 @@ def start(
 
 
 def start_monitors(
-    events: DataFrame, checkpoint_root: str, mode: str = "complete", every: str | None = "1 minute",
-    watermark: str | None = None, sink: str = "console",
+    events: DataFrame, checkpoint_root: str, mode: str = "update", every: str | None = "1 minute",
+    watermark: str | None = "10 minutes", sink: str = "console",
 ) -> list[StreamingQuery]:
-    """The four reservation monitors, each with its own checkpoint."""
+    """The four reservation monitors, each with its own checkpoint.
+
+    ``update`` with a watermark keeps the state bounded. ``complete`` can be sorted for
+    display but keeps every window for ever.
+    """
     queries = []
     for name, (monitor, order, rows) in MONITORS.items():
         result = monitor(events, watermark) if watermark else monitor(events)
@@ -94,6 +99,8 @@ def replay(spark: SparkSession, result: DataFrame, keys: Sequence[str], name: st
 
     query = start(result, name, f"{folder}/checkpoint", mode="update", every=None, handler=write)
     query.awaitTermination()
-    written = spark.read.parquet(f"{folder}/out")
+    schema = StructType([*result.schema.fields, StructField("batch", IntegerType())])
+    make_folder(spark, f"{folder}/out")  # an empty source has no batch
+    written = spark.read.schema(schema).parquet(f"{folder}/out")
     newest = F.max_by(F.struct(*[c for c in result.columns if c not in keys]), "batch")
     return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*result.columns)

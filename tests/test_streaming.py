@@ -163,4 +163,5 @@ def test_sorting_needs_complete_output(spark, tmp_path):
 
 def test_message_options():
     options = E.kafka_options("host:9092", "reservations")
-    assert options["maxOffsetsPerTrigger"] == "1000" and options["startingOffsets"] == "latest"
+    assert "maxOffsetsPerTrigger" not in options and options["startingOffsets"] == "latest"
+    assert E.kafka_options("host:9092", "reservations", 500)["maxOffsetsPerTrigger"] == "500"
