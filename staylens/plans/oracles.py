@@ -362,7 +362,7 @@ def _booking_sql() -> dict[str, str]:
             WITH {_SENT}, {_minute_slices(5, "is_canceled = 0")}
             SELECT period_start, period_start + to_minutes(5) AS period_end, hotel, reserved_room_type AS room_type,
                    count(*) AS booking_count, {_half_up("avg(adr)")} AS avg_daily_rate,
-                   CAST(sum(CAST(adr AS DECIMAL(18,2))) AS DOUBLE) AS revenue_proxy,
+                   CAST(round(sum(CAST(adr AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue_proxy,
                    {_half_up(f"avg({_NIGHTS})", 1)} AS avg_stay_nights
             FROM sliced GROUP BY period_start, hotel, reserved_room_type HAVING count(*) >= 5""",
         "booking_stream_countries": f"""
@@ -559,7 +559,7 @@ def _stream_sql() -> dict[str, str]:
             WITH {_SHAPED}, {_slices("shaped", 5, "is_canceled = 0")}
             SELECT period_start, period_start + to_hours(5) AS period_end, event_type, count(*) AS booking_count,
                    {_half_up("avg(value)")} AS avg_daily_rate,
-                   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS revenue_proxy
+                   CAST(round(sum(CAST(value AS DECIMAL(18,6))), 2) AS DOUBLE) AS revenue_proxy
             FROM sliced GROUP BY period_start, event_type HAVING count(*) >= 5""",
         "stream_top_groups": f"""
             WITH {_SHAPED}, {_slices("shaped", 2)}
