@@ -13,10 +13,15 @@ from staylens.streaming import monitors as M
 from staylens.streaming.run import collect_stream, replay
 
 
+def _events_path(folder: str) -> str:
+    """A pattern that only the table's own name fits: a stream source takes a pattern or a folder, and this may be a file."""
+    return f"{folder.rstrip('/')}/events.{{parquet}}"
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a file stream, its zone-less time read as UTC."""
     schema = read_table(spark, folder, "events").schema
-    stream = E.read_stream(spark, "parquet", f"{folder.rstrip('/')}/events.parquet", schema)
+    stream = E.read_stream(spark, "parquet", _events_path(folder), schema)
     return shape(stream)
 
 
@@ -66,7 +71,7 @@ def stream_top_groups(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per type after dropping repeated event ids on the stream."""
     schema = read_table(spark, folder, "events").schema
-    stream = E.read_stream(spark, "parquet", f"{folder.rstrip('/')}/events.parquet", schema)
+    stream = E.read_stream(spark, "parquet", _events_path(folder), schema)
     timed = stream.withColumn("event_timestamp", F.col("ts").cast("timestamp")).select(
         "event_id", "event_type", "event_timestamp"
     )
