@@ -111,7 +111,9 @@ def fit(
     """Learn from at most ``sample`` different texts of each label."""
     rows = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("draw"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # One row a label, written so that its size is known before the join and no text is shuffled by label.
     share = labelled.groupBy(F.col(label_col).alias("lang")).agg((F.lit(2.0 * sample) / F.count("*")).alias("share"))
+    share = written(share, "language-shares")
     # About twice the sample by chance first, so that the exact cut only ever sees a few rows a label.
     place = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53))
     few = rows.join(share, "lang").filter(place < F.col("share")).drop("share")
