@@ -44,7 +44,7 @@ def test_clean_keeps_copies_and_its_schema(spark):
     got = cleaning.clean(df)
     assert [(f.name, f.dataType) for f in got.schema.fields] == [(f.name, f.dataType) for f in schemas.CLEANED.fields]
     assert rows(got, "country", "agent") == [("PRT", "9"), ("PRT", "9"), ("Unknown", "9999")]
-    assert rows(cleaning.clean_counts(df)) == [(5, 4, 3)]
+    assert rows(cleaning.clean_counts(df)) == [(5, 0, 4, 3)]
     again = cleaning.clean(got.withColumn("company", F.lit("NULL")))
     assert rows(again) == rows(got)
 
