@@ -2,9 +2,15 @@
 
 A text becomes a TF-IDF vector of letter trigrams (lower case, runs of other characters as one
 gap), hashed into ``DIMENSIONS`` and normalised. Each language has several centroids, found by
-spherical clustering of its sample, as one language is written in more than one style. A text
-gets the language of the centroid with the largest cosine, and is rejected if the distance to
-it is larger than for any text of its length class in the sample, with a margin.
+spherical clustering of its sample, as one language is written in more than one style. Starts
+are not the farthest texts and the smallest clusters are left out, so that a few texts in two
+languages get no centroid. A text gets the language of the centroid with the largest cosine,
+and is rejected if the cosine is below the floor of that language and the text's length class.
+
+The length class counts different trigrams, as a word said a hundred times is no long text. A
+floor is ``MARGIN`` of a low quantile of the sample's own cosines, each to centroids learned
+without it. A class with few texts takes those of all languages, then the floor of the next
+longer class; below the shortest known class floors fall with the root of the length.
 
 The fit reads all labels to count them but takes vectors of at most ``SAMPLE_PER_LANGUAGE``
 different texts a language, drawn by a hash of the id. The model is ``CENTROIDS`` vectors a
@@ -30,10 +36,18 @@ from staylens.llm.common import worker_state, written
 DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 1000
 CENTROIDS = 4
-#: A rejected text is less similar than this share of the least similar sample text of its length class.
-MARGIN = 0.3
+#: A rejected text is less similar than MARGIN of this quantile of the sample texts of its language and length class.
+LOW = 0.01
+MARGIN = 0.5
+#: A length class with fewer sample texts has no quantile of its own.
+LEAST_TEXTS = 20
+FOLDS = 5
+#: Clustering starts pass over this share of the farthest texts; clusters of a smaller share than SMALLEST are left out.
+OUTLIERS = 0.05
+SMALLEST = 0.02
 ROUNDS = 12
 BLOCK = 128
+CLASSES = 16
 UNKNOWN = "und"
 
 
@@ -43,7 +57,7 @@ class Model:
     idf: np.ndarray = field(default_factory=lambda: np.zeros(DIMENSIONS, np.float32))
     centroids: np.ndarray = field(default_factory=lambda: np.zeros((0, DIMENSIONS), np.float32))
     owner: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    floors: np.ndarray = field(default_factory=lambda: np.zeros(64))
+    floors: np.ndarray = field(default_factory=lambda: np.zeros((0, CLASSES)))
 
 
 def _letters() -> np.ndarray:
@@ -86,22 +100,48 @@ def weighted(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def length_class(count: np.ndarray) -> np.ndarray:
-    return np.log2(1 + count.sum(axis=1)).astype(np.int64)
+    return np.log2(np.maximum((count > 0).sum(axis=1), 1)).astype(np.int64)
 
 
 def cluster(vectors: np.ndarray, k: int) -> np.ndarray:
     """At most ``k`` unit centroids by cosine, started far apart; the same rows give the same ones."""
     start = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
     near = vectors @ vectors[start[0]]
-    while len(start) < min(k, len(vectors)) and near.min() < 1 - 1e-6:
-        start.append(int(np.argmin(near)))
-        near = np.maximum(near, vectors @ vectors[start[-1]])
+    while len(start) < min(k, len(vectors)):
+        far = int(np.argsort(near, kind="stable")[int(len(near) * OUTLIERS)])
+        if near[far] >= 1 - 1e-6:
+            break
+        start.append(far)
+        near = np.maximum(near, vectors @ vectors[far])
     centroids = vectors[start]
     for _ in range(ROUNDS):
         own = np.argmax(vectors @ centroids.T, axis=1)
         moved = np.array([vectors[own == i].mean(axis=0) if (own == i).any() else centroids[i] for i in range(len(centroids))])
         centroids = moved / np.linalg.norm(moved, axis=1, keepdims=True)
-    return centroids
+    size = np.bincount(np.argmax(vectors @ centroids.T, axis=1), minlength=len(centroids))
+    return centroids[size >= min(size.max(), max(1, SMALLEST * len(vectors)))]
+
+
+def own_cosines(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Each row's cosine to the centroids of the other folds; 1 for a row alone."""
+    fold, out = np.arange(len(vectors)) % FOLDS, np.ones(len(vectors))
+    for f in range(FOLDS if len(vectors) > 1 else 0):
+        if (fold == f).any():
+            out[fold == f] = (vectors[fold == f] @ cluster(vectors[fold != f], k).T).max(axis=1)
+    return out
+
+
+def class_floors(low: dict[tuple[str | None, int], float], languages: list[str]) -> np.ndarray:
+    """Floors by language and length class from the quantiles that are known; those of language None are of all."""
+    floors = np.full((len(languages), CLASSES), np.inf)
+    for row, lang in zip(floors, languages):
+        for size in range(CLASSES):
+            row[size] = low.get((lang, size), low.get((None, size), np.inf))
+        shortest = int(np.isfinite(row).argmax())
+        row[:] = np.minimum.accumulate(row[::-1])[::-1]
+        row[np.isinf(row)] = row[np.isfinite(row)].max()
+        row[:shortest] = row[shortest] * 0.5 ** ((shortest - np.arange(shortest)) / 2)
+    return floors * MARGIN
 
 
 def fit(
@@ -149,30 +189,34 @@ def fit(
 
     def clustered(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("count")
-        found = cluster(weighted(np.stack([np.frombuffer(c, np.float32) for c in group["count"]]), idf), centroids)
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in found]})
+        count = np.stack([np.frombuffer(c, np.float32) for c in group["count"]])
+        vectors, lang = weighted(count, idf), group["lang"].iloc[0]
+        found = pd.DataFrame({"lang": lang, "centroid": [c.astype(np.float32).tobytes() for c in cluster(vectors, centroids)]})
+        own = pd.DataFrame({"lang": lang, "size": length_class(count), "score": own_cosines(vectors, centroids).astype(float)})
+        found["size"], found["score"], own["centroid"] = -1, 0.0, None
+        return pd.concat([found, own[found.columns]], ignore_index=True)
 
     # A group is one label's sample, so it is bounded.
-    found = drawn.groupBy("lang").applyInPandas(clustered, "lang string, centroid binary").collect()
+    learned = drawn.groupBy("lang").applyInPandas(clustered, "lang string, centroid binary, size int, score double")
+    learned = written(learned, "language-centroids")
+    found = learned.filter(F.col("centroid").isNotNull()).select("lang", "centroid").collect()
     found = sorted((r["lang"], bytes(r["centroid"])) for r in found)
     model.languages = sorted({lang for lang, _ in found})
     model.centroids = np.stack([np.frombuffer(c, np.float32) for _, c in found])
     model.owner = np.array([model.languages.index(lang) for lang, _ in found])
 
-    def similarity(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), BLOCK):
-                count = np.stack([np.frombuffer(c, np.float32) for c in batch["count"].iloc[at : at + BLOCK]])
-                best = (weighted(count, idf) @ model.centroids.T).max(axis=1)
-                yield pd.DataFrame({"size": length_class(count), "score": best.astype(float)})
-
-    lowest = drawn.mapInPandas(similarity, "size int, score double").groupBy("size").agg(F.min("score").alias("score")).collect()
-    floors = np.full(64, np.inf)
-    floors[[r["size"] for r in lowest]] = [r["score"] for r in lowest]
-    # A class without a sample text takes the floor of the next longer one, or of the longest seen.
-    floors = np.minimum.accumulate(floors[::-1])[::-1]
-    floors[np.isinf(floors)] = floors[np.isfinite(floors)].max()
-    model.floors = floors * MARGIN
+    # A row a label and length class comes back, a row a class and a row for all: labels are never null here.
+    scores = learned.filter(F.col("centroid").isNull())
+    low = scores.groupingSets([["lang", "size"], ["size"], []], "lang", "size").agg(
+        F.percentile("score", F.lit(LOW)).alias("low"), F.count("*").alias("n")
+    ).collect()
+    known = {(r["lang"], r["size"]): r["low"] for r in low if r["size"] is not None and r["n"] >= LEAST_TEXTS}
+    # Too few texts for any class: what they have together stands for the longest.
+    together = next(r["low"] for r in low if r["size"] is None)
+    if not any(lang is None for lang, _ in known):
+        longest = max(r["size"] for r in low if r["size"] is not None)
+        known[None, longest] = together
+    model.floors = class_floors(known, model.languages)
     return model
 
 
@@ -198,7 +242,7 @@ def nearest(model: Model, texts: list[str | None]) -> pd.DataFrame:
         best = cosine.argmax(axis=1)
         score[some] = np.round(np.clip(cosine.max(axis=1), 0, 1), 6)
         lang[some] = np.array(model.languages, dtype=object)[model.owner[best]]
-        accepted[some] = score[some] >= np.maximum(model.floors[length_class(count[some])], 1e-9)
+        accepted[some] = score[some] >= np.maximum(model.floors[model.owner[best], length_class(count[some])], 1e-9)
     return pd.DataFrame({"lang_pred": lang, "score": score, "accepted": accepted})
 
 

@@ -76,3 +76,19 @@ def test_nothing_to_learn_from(spark):
 def test_fit_is_repeatable(spark):
     a, b = L.fit(corpus(spark)), L.fit(corpus(spark).repartition(5))
     assert a.languages == b.languages and (abs(a.idf - b.idf) < 1e-6).all() and abs(a.centroids - b.centroids).max() < 1e-4
+
+
+def test_language_left_out_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").cache()
+    for lang in ("de", "en", "es", "fr"):
+        model = L.fit(docs.filter(F.col("lang") != lang))
+        rows = docs.select("lang", F.col("text"), L.identify(model, F.col("text")).alias("found")).collect()
+        unseen = [r["found"]["accepted"] for r in rows if r["lang"] == lang]
+        assert sum(unseen) / len(unseen) < 0.1, (lang, sum(unseen), len(unseen))
+        assert all(r["found"]["accepted"] for r in rows if r["lang"] != lang)
+
+
+def test_few_texts_in_two_languages_give_no_centroid(spark):
+    extra = [(900 + i, f"{EN} {DE} {i}", "de") for i in range(1)]
+    only = corpus(spark, extra).filter("lang = 'de'")
+    assert not predict(L.fit(only), spark.createDataFrame([(1, EN, None)], SCHEMA))[1]["accepted"]
