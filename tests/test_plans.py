@@ -55,7 +55,7 @@ def test_query_matches_its_checking_sql_and_has_a_sound_plan(spark, small, check
 
 
 def test_every_checking_sql_belongs_to_a_query():
-    assert set(entry_points.oracle_sql()) <= set(queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
