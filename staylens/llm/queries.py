@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over whole tables, and SQL for those that SQL can express."""
+"""The operators as registered queries over whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylens.llm import (
-    chat_repair, language_id, mixing, record_files, sampled_splitters, secret_scan, simhash_ball, template_leaks, vp_tree, warc_revisits,
+    chat_repair, language_id, line_filters, mixing, phrase_mining, prefix_trie, record_files, sampled_splitters, secret_scan,
+    simhash_ball, template_leaks, vp_tree, warc_revisits,
 )
 from staylens.session import configure
 
@@ -82,9 +83,26 @@ def op10_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept, names = line_filters.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", names["n_lines"], names["n_dropped"], F.sha2(names["kept_text"], 256).alias("kept_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_mix_sources, op3_resolve_revisits, op4_chat_repair, op5_simhash_components, op6_secret_scan, op7_template_leaks, op8_vp_neighbours, op9_token_records, op10_shard_by_bytes)
+    for f in (
+        op1_language_id, op2_mix_sources, op3_resolve_revisits, op4_chat_repair, op5_simhash_components, op6_secret_scan,
+        op7_template_leaks, op8_vp_neighbours, op9_token_records, op10_shard_by_bytes, op11_collocations, op12_line_dedup,
+        op13_prefix_trie,
+    )
 }
 
 # Sources in order of code points weigh 3, 1, 2, ...; the level is the largest candidate over the number of capped
@@ -158,4 +176,89 @@ SELECT id AS record_id, address AS canonical_url, outcome, CASE WHEN outcome = '
 FROM j
 """
 
-ORACLES: dict[str, str] = {"op3_resolve_revisits": _REVISITS, "op2_mix_sources": _MIX, "op8_vp_neighbours": _NEAREST}
+_PHRASES = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, doc, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+q AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+w AS (
+  SELECT lang, unnest(words) AS w1, unnest(list_concat(words[2:], [NULL])) AS w2, unnest(list_concat(words[3:], [NULL, NULL])[1:len(words)]) AS w3
+  FROM q WHERE len(words) > 0),
+f1 AS (SELECT lang, w1, count(*) AS a FROM w GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS a FROM w WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS a FROM w WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.a, 1 AS cut, x.a AS l, y.a AS r
+  FROM f2 JOIN f1 AS x ON (x.lang, x.w1) = (f2.lang, f2.w1) JOIN f1 AS y ON (y.lang, y.w1) = (f2.lang, f2.w2)
+  WHERE f2.a * 50 > 100 * coalesce((SELECT max(f3.a) FROM f3 WHERE f3.lang = f2.lang AND f3.w1 = f2.w1 AND f3.w2 = f2.w2), 0)
+    AND f2.a * 50 > 100 * coalesce((SELECT max(f3.a) FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w1 AND f3.w3 = f2.w2), 0)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.a, 1, x.a, y.a
+  FROM f3 JOIN f1 AS x ON (x.lang, x.w1) = (f3.lang, f3.w1) JOIN f2 AS y ON (y.lang, y.w1, y.w2) = (f3.lang, f3.w2, f3.w3)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.a, 2, x.a, y.a
+  FROM f3 JOIN f2 AS x ON (x.lang, x.w1, x.w2) = (f3.lang, f3.w1, f3.w2) JOIN f1 AS y ON (y.lang, y.w1) = (f3.lang, f3.w3)),
+s AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, CAST(encode(phrase) AS BLOB)) AS rank FROM b),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+# A line's holders are ids; null is the smallest of them.
+_LINES = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+h AS (
+  SELECT key, count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) AS n, max(doc_id) AS top
+  FROM k WHERE length(key) >= 20 GROUP BY key),
+m AS (
+  SELECT k.*, coalesce(h.n >= 3 AND k.doc_id IS DISTINCT FROM h.top, false) AS gone FROM k LEFT JOIN h ON h.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY row
+"""
+
+# A prefix is spelled by the digests of its turns, 128 digits each. CRC-32 goes bit by bit; -1 shifts one bit out.
+_TRIE = r"""
+WITH o AS (
+  SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, CAST(encode(coalesce(role, '')) AS BLOB), sha256(coalesce(text, ''))) AS place,
+    sha256(coalesce(role, '')) || sha256(coalesce(text, '')) AS turn, octet_length(encode(coalesce(text, ''))) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv, count(*) AS own, conv - conv % 5 AS lender,
+    xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv AS VARCHAR), ''),
+      lambda x: list_concat([ascii(x)::BIGINT], list_transform(range(8), lambda y: (-1)::BIGINT))))),
+      lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, (s & 1) * 3988292384) END)) % 9 AS head
+  FROM o GROUP BY conv),
+p AS (SELECT c.*, least(c.head, coalesce(l.own, 0)) AS taken FROM c LEFT JOIN c AS l ON l.conv = c.lender),
+r AS (
+  SELECT p.conv, o.place, o.turn, o.bytes FROM p JOIN o ON o.conv = p.lender AND o.place <= p.head
+  UNION ALL
+  SELECT p.conv, p.taken + o.place - p.head, o.turn, o.bytes FROM p JOIN o ON o.conv = p.conv AND o.place > p.head),
+m AS (
+  SELECT conv, place AS depth, string_agg(turn, '') OVER (PARTITION BY conv ORDER BY place) AS key, bytes FROM r
+  UNION ALL SELECT conv, 0, '', 0 FROM c),
+len AS (SELECT conv, max(depth) AS length FROM m GROUP BY conv),
+v AS (
+  SELECT depth, key, min(conv) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv) FILTER (depth = length), '')) AS ends_sha256
+  FROM m JOIN len USING (conv) GROUP BY depth, key),
+u AS (
+  SELECT v.*, x.conv_id AS parent_conv_id, (SELECT count(*) FROM v AS y WHERE y.depth = v.depth + 1 AND left(y.key, 128 * v.depth) = v.key) AS n_children
+  FROM v LEFT JOIN v AS x ON x.depth = v.depth - 1 AND x.key = left(v.key, 128 * (v.depth - 1)))
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, u.parent_conv_id, u.n_convs, u.n_children,
+  CAST(sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+  CAST(sum((w.n_convs - 1) * w.bytes) AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u JOIN m ON m.depth = u.depth AND m.key = u.key JOIN u AS w ON w.conv_id = m.conv AND w.depth >= m.depth
+GROUP BY ALL
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": _MIX, "op3_resolve_revisits": _REVISITS, "op8_vp_neighbours": _NEAREST, "op11_collocations": _PHRASES,
+    "op12_line_dedup": _LINES, "op13_prefix_trie": _TRIE,
+}
