@@ -265,8 +265,13 @@ def probed(index: LineIndex, lines: DataFrame) -> DataFrame:
 
 
 def dropped_lines(index: LineIndex, lines: DataFrame) -> DataFrame:
-    """``(doc, text_key, positions)``: lines held by ``min_docs`` documents or more, save the largest id's."""
+    """``(doc, text_key, positions)``: lines held by ``min_docs`` documents or more, save the largest id's.
+
+    The exact counts of such lines are written, so that the join with them is one of two plain
+    tables: Spark broadcasts the counts while they are small, and parts hot keys otherwise.
+    """
     exact = index.counts().filter(F.col("n_docs") >= index.min_docs).select(F.col("key").alias("_key"), "top_doc")
+    exact = written(exact, "line-counts")
     hits = probed(index, lines).join(exact, F.col("key") == F.col("_key"))
     gone = hits.filter(~F.col("doc").eqNullSafe(F.col("top_doc"))).select("doc", "text_key", "pos").distinct()
     return gone.groupBy("doc", "text_key").agg(F.collect_list("pos").alias("positions"))
