@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 _LOW_BITS = 20
 
 
+def _scaled(number: Column, scale: int) -> tuple[Column, Column]:
+    """Whole units, and whether the number is no amount."""
+    bad = F.isnan(number) | (F.abs(number) >= F.lit(float(1 << 62) / 10**scale))
+    return F.floor(number * F.lit(float(10**scale)) + 0.5), bad
+
+
 def units(amount: Column, scale: int = 2) -> Column:
     """Amount as a whole number of smallest units (cents for ``scale`` 2).
 
@@ -15,12 +21,18 @@ def units(amount: Column, scale: int = 2) -> Column:
     infinities and amounts beyond a long are refused: none of them may count as 0.
     """
     number = amount.cast("double")
-    scaled = F.floor(number * F.lit(float(10**scale)) + 0.5)
-    bad = F.isnan(number) | (F.abs(number) >= F.lit(float(1 << 62) / 10**scale))
+    scaled, bad = _scaled(number, scale)
     refused = F.raise_error(F.concat(F.lit("not an amount: "), number.cast("string"))).cast("bigint")
     return F.when(bad, refused).otherwise(scaled)
 
 
+def units_or_null(amount: Column, scale: int = 2) -> Column:
+    """Like :func:`units` for streams, where one bad message must not stop the query: what is no amount is null."""
+    number = amount.cast("double")
+    scaled, bad = _scaled(number, scale)
+    return F.when(~bad, scaled)
+
+
 def exact_sum(whole: Column, scale: int = 2) -> Column:
     """Sum of whole units as a decimal with ``scale`` places.
 

@@ -7,7 +7,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.plans import booking_models, booking_questions, model_questions, stream_questions as S, table_questions as T
+from staylens.plans import (
+    booking_models, booking_questions, model_facts, model_questions, scale_questions, stream_questions as S, table_questions as T,
+)
 from staylens.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +26,8 @@ _TABLE_NAMES = [
 ]
 _STREAM_NAMES = [
     "parse_events", "event_envelope", "stream_counts", "stream_rate_alert", "stream_sliding_mean",
-    "stream_top_groups", "stream_dedupe",
+    "stream_top_groups", "stream_dedupe", "stream_restarted_counts", "stream_pane_mean", "stream_pane_top", "stream_dedupe_hot",
+    "stream_watched", "message_rejections",
 ]
 
 
@@ -40,4 +43,5 @@ def queries() -> dict[str, Query]:
     table = {name: getattr(T, name) for name in _TABLE_NAMES}
     table |= {name: getattr(S, name) for name in _STREAM_NAMES}
     table |= booking_questions.QUERIES | booking_models.QUERIES | model_questions.QUERIES
+    table |= model_facts.QUERIES | scale_questions.QUERIES
     return {name: _configured(query) for name, query in table.items()}

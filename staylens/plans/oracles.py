@@ -5,6 +5,7 @@ Only the shaping of reservation rows shares its expressions with the Spark side.
 
 from __future__ import annotations
 
+from staylens.plans import model_facts, scale_questions
 from staylens.plans.questions import MONTHS
 from staylens.plans.stays import EXPRESSIONS, bookings_sql
 
@@ -536,7 +537,7 @@ def _table_sql() -> dict[str, str]:
 
 
 def _stream_sql() -> dict[str, str]:
-    return {
+    sql = {
         "parse_events": "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events",
         "event_envelope": """
             SELECT event_type AS key, CAST(to_json(struct_pack(
@@ -567,7 +568,20 @@ def _stream_sql() -> dict[str, str]:
                    {_half_up("avg(value)")} AS avg_spend, round(avg(is_canceled) * 100, 1) AS cancel_rate_pct
             FROM sliced GROUP BY period_start, event_type, user_group""",
         "stream_dedupe": "SELECT event_type, count(DISTINCT event_id) AS events FROM events GROUP BY event_type",
+        "stream_dedupe_hot": """
+            SELECT DISTINCT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(event_id AS VARCHAR) END AS message, CAST(1 AS BIGINT) AS kept
+            FROM events""",
+        "stream_watched": """
+            SELECT 'counts' AS monitor, count(*) AS rows_read FROM events UNION ALL SELECT 'alerts', count(*) FROM events""",
+        "message_rejections": """
+            SELECT CASE WHEN event_id % 19 = 0 OR event_id % 11 = 0 THEN 'no_time' WHEN event_id % 7 IN (1, 2, 3) THEN 'no_rate'
+                        WHEN event_id % 13 = 0 THEN 'no_adults' WHEN event_id % 17 = 0 THEN 'no_hotel' ELSE 'accepted' END AS reason,
+                   count(*) AS messages FROM events GROUP BY 1""",
     }
+    sql["stream_restarted_counts"] = sql["stream_counts"]
+    sql["stream_pane_mean"] = sql["stream_sliding_mean"]
+    sql["stream_pane_top"] = sql["stream_top_groups"]
+    return sql
 
 
 _DOCUMENTS = f"""
@@ -637,4 +651,5 @@ def _model_sql() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _table_sql() | _stream_sql() | _booking_sql() | _model_sql()
+    facts = model_facts.oracle_sql(_split_bucket("doc_id"), f"{_CLEAN}, {_TAGGED}")
+    return _table_sql() | _stream_sql() | _booking_sql() | _model_sql() | scale_questions.oracle_sql() | facts

@@ -20,10 +20,11 @@ def read_bookings(
     """CSV with a header row, tokens such as ``NULL`` kept as text.
 
     Columns are found by their name in the header, in whatever order the file has them; a
-    missing one fails. FAILFAST by default: a shifted row or a mistyped value must not turn
+    missing one fails, and so do several files whose headers differ
+    (:func:`staylens.sources.read_csv_folder` maps each file by its own). FAILFAST by default: a shifted row or a mistyped value must not turn
     into a null unseen.
     """
-    rows = spark.read.csv(path, header=True, mode=mode)
+    rows = spark.read.csv(path, header=True, mode=mode, enforceSchema=False)
     missing = [f.name for f in schema.fields if f.name not in rows.columns]
     if missing:
         raise ValueError(f"no such columns in the header: {missing}")

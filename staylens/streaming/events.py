@@ -84,25 +84,55 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep:
     return df.select(*keep, parsed.alias("_parsed")).select(*keep, "_parsed.*")
 
 
-def valid_only(events: DataFrame) -> DataFrame:
-    """Events with a time, a rate of 0 or more, at least one adult and a hotel."""
-    return events.filter(
-        F.col("event_timestamp").isNotNull()
-        & (F.col("adr") >= 0)
-        & (F.col("adults") > 0)
-        & F.col("hotel").isNotNull()
+def rejection(times: str = "event_timestamp") -> Column:
+    """Why an event does not count, or null if it does: the first reason that holds.
+
+    A rate must be a number of 0 or more; JSON readers let NaN and infinities through.
+    """
+    rate = F.col("adr")
+    no_rate = rate.isNull() | F.isnan(rate) | (rate == float("inf")) | (rate < 0)
+    return (
+        F.when(F.col(times).isNull(), "no_time")
+        .when(no_rate, "no_rate")
+        .when(~F.coalesce(F.col("adults") > 0, F.lit(False)), "no_adults")
+        .when(F.col("hotel").isNull(), "no_hotel")
     )
 
 
+def valid_only(events: DataFrame) -> DataFrame:
+    """Events with a time, a finite rate of 0 or more, at least one adult and a hotel."""
+    return events.filter(rejection().isNull())
+
+
+def _timed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    return parse_json(raw, schema).withColumn("event_timestamp", F.col("event_time").try_cast("timestamp"))
+
+
 def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
     """Messages -> valid reservation events. A bad time drops the row, not the query."""
-    events = parse_json(raw, schema).withColumn("event_timestamp", F.col("event_time").try_cast("timestamp"))
-    return valid_only(events)
+    return valid_only(_timed(raw, schema))
+
+
+def rejected_counts(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
+    """Messages that do not become events, by reason."""
+    reasons = _timed(raw, schema).select(rejection().alias("reason")).filter(F.col("reason").isNotNull())
+    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def dedupe(events: DataFrame, key: str = "event_id", time_col: str = "event_timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Drop messages sent again; state is kept for ``delay`` only."""
-    return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+def dedupe(
+    events: DataFrame, key: str = "event_id", time_col: str = "event_timestamp", delay: str = "10 minutes", salts: int = 1
+) -> DataFrame:
+    """Drop messages sent again; state is kept for ``delay`` only.
+
+    With ``salts`` above 1, copies are first dropped per (id, salt), each message drawing its salt. Then no
+    task meets more than ``salts`` copies of one id, however often it was sent, and which copy stays
+    is as open as without. An id that is not repeated costs a second state row.
+    """
+    events = events.withWatermark(time_col, delay)
+    if salts > 1:
+        salt = F.floor(F.rand() * salts)
+        events = events.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return events.dropDuplicatesWithinWatermark([key])
 
 
 def known_country(column: str = "country") -> Column:

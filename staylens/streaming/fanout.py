@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from staylens.functions import alert_level, stable_round, units
+from staylens.functions import alert_level, stable_round, units_or_null
 from staylens.session import kept, make_folder
 from staylens.streaming.events import dedupe, known_country
 from staylens.streaming.monitors import MIN_COUNT
@@ -90,12 +90,13 @@ def sums(events: DataFrame, summary: Summary) -> DataFrame:
     window = F.window("event_timestamp", summary.duration, summary.slide)
     nights = F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights")
     flag = F.col("is_canceled")
+    amount = units_or_null(F.col("adr"), AMOUNT_SCALE)
     grouped = summary.rows(events).groupBy(window.alias("w"), *summary.keys).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(flag == 0).alias("confirmed"),
         F.count_if(flag == 1).alias("canceled"),
-        F.sum(units(F.col("adr"), AMOUNT_SCALE)).alias("amount"),
-        F.count("adr").alias("rated"),
+        F.sum(amount).alias("amount"),
+        F.count(amount).alias("rated"),
         F.sum(nights).alias("nights"),
         F.count(nights).alias("stays"),
     )

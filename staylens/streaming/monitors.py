@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.functions import ALERT_LEVELS, alert_level, exact_sum, stable_round, units
+from staylens.functions import ALERT_LEVELS, alert_level, exact_sum, stable_round, units_or_null
 from staylens.operators.groups import rate_measures
 from staylens.streaming.events import known_country
 
@@ -65,11 +65,15 @@ def sliding_mean(
     time_col: str = "event_timestamp", duration: str = "5 minutes", slide: str = "1 minute",
     min_count: int = MIN_COUNT, watermark: str | None = None,
 ) -> DataFrame:
-    """Mean and sum of a rate per sliding window and key, for windows with enough rows."""
+    """Mean and sum of a rate per sliding window and key, for windows with enough rows.
+
+    A value that is no amount (NaN, infinite) counts as a row and in neither measure.
+    """
+    amount = units_or_null(value, 6)
     measures = [
         F.count(F.lit(1)).alias("booking_count"),
-        stable_round(F.avg(value), 2).alias("avg_daily_rate"),
-        F.round(exact_sum(units(value, 6), 6), 2).cast("double").alias("revenue_proxy"),
+        stable_round(F.avg(F.when(amount.isNotNull(), value)), 2).alias("avg_daily_rate"),
+        F.round(exact_sum(amount, 6), 2).cast("double").alias("revenue_proxy"),
     ]
     names = ["booking_count", "avg_daily_rate", "revenue_proxy"]
     if nights is not None:

@@ -85,22 +85,32 @@ def collect_stream(spark: SparkSession, result: DataFrame, name: str) -> DataFra
     return spark.read.schema(result.schema).parquet(f"{folder}/out")
 
 
+def update_writer(out: str):
+    """Handler that writes the changed groups of a batch to a folder of its own, which a repeated batch overwrites."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return write
+
+
+def newest_rows(spark: SparkSession, out: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The newest row of every group that :func:`update_writer` wrote."""
+    fields = StructType([*schema.fields, StructField("batch", IntegerType())])
+    make_folder(spark, out)  # an empty source has no batch
+    written = spark.read.schema(fields).parquet(out)
+    newest = F.max_by(F.struct(*[c for c in schema.names if c not in keys]), "batch")
+    return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*schema.names)
+
+
 def replay(spark: SparkSession, result: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Run an aggregating stream over everything its source holds; return the final rows.
 
-    Each micro-batch writes its changed groups to a folder of its own, which a repeated
-    batch overwrites, and the newest row of every group is kept. Groups of the last,
-    still open windows are included.
+    Groups of the last, still open windows are included.
     """
     folder = scratch_dir(spark, name)
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
-
-    query = start(result, name, f"{folder}/checkpoint", mode="update", every=None, handler=write)
+    query = start(
+        result, name, f"{folder}/checkpoint", mode="update", every=None, handler=update_writer(f"{folder}/out")
+    )
     query.awaitTermination()
-    schema = StructType([*result.schema.fields, StructField("batch", IntegerType())])
-    make_folder(spark, f"{folder}/out")  # an empty source has no batch
-    written = spark.read.schema(schema).parquet(f"{folder}/out")
-    newest = F.max_by(F.struct(*[c for c in result.columns if c not in keys]), "batch")
-    return written.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*result.columns)
+    return newest_rows(spark, f"{folder}/out", result.schema, keys)
