@@ -3,19 +3,20 @@
 Keys are ordered by (hash of the text, hash of the id), so copies of a text lie together and
 yet can be parted. A sample that takes rows in proportion to their size gives quantile
 boundaries of fine ranges; every row is put into its range, the ranges are weighed exactly, and
-a range that turned out overfull is sampled again and subdivided. Whole ranges are then dealt
-to the shards in order.
+a range that turned out overfull is sampled again and subdivided, and one that rows equal in id and
+text fill is cut by their number. Whole ranges are then dealt to the shards in order.
 
 Only the sample (``samples_per_range`` keys a range), the boundaries and the range totals reach the driver;
 their number depends on the number of ranges, not on the data.
 
-Defined results: null text has size 1; rows equal in id and text are interchangeable and take
-neighbouring slots; empty shards occur only where there are too few rows; an empty table gives
+Defined results: null text has size 1; rows equal in id and text are interchangeable, take
+neighbouring slots and may lie in several shards; empty shards occur only where there are too few rows; an empty table gives
 no rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.common import written
+from staylens.operators.scan import running_totals
 
 RANGES_PER_SHARD = 256
 SAMPLES_PER_RANGE = 16
 #: A range is overfull above this multiple of its fair share.
 OVERFULL = 2.0
-#: Overfull ranges are sampled again so many times as densely.
+#: Overfull ranges are sampled again so many times as densely, until none is left that can be parted.
 RESAMPLE = 4
-ROUNDS = 8
 
 
 def byte_size(text: Column) -> Column:
@@ -39,24 +40,34 @@ def byte_size(text: Column) -> Column:
 
 
 def _sample(keyed: DataFrame, rate: float, turn: int = 0) -> pd.DataFrame:
-    """Keys drawn with chance min(1, size * rate), by a hash of the key: reruns draw the same.
+    """Keys drawn with chance min(1, size * rate), by a hash of the key and, if there is one, the row's place ``e``.
 
     A row for which size * rate exceeds 1 counts as that many draws.
     """
     chance = F.col("size") * F.lit(rate)
-    draw = F.shiftrightunsigned(F.xxhash64("k", "d", F.lit(turn)), 11) / F.lit(float(1 << 53))
+    place = ["e"] if "e" in keyed.columns else []
+    draw = F.shiftrightunsigned(F.xxhash64("k", "d", *place, F.lit(turn)), 11) / F.lit(float(1 << 53))
     drawn = keyed.filter(draw < chance).select("k", "d", F.greatest(chance, F.lit(1.0)).alias("w"))
     return drawn.toPandas().sort_values(["k", "d"], ignore_index=True)
 
 
+def _next_key(key: tuple[int, int]) -> tuple[int, int]:
+    k, d = key
+    return (k, d + 1) if d < (1 << 63) - 1 else (k + 1, -(1 << 63))
+
+
 def _quantiles(sample: pd.DataFrame, ranges: int) -> list[tuple[int, int]]:
-    """At most ``ranges - 1`` boundary keys; a key equal to a boundary lies above it."""
+    """About ``ranges - 1`` boundary keys; a key equal to a boundary lies above it.
+
+    A key that is picked more than once fills ranges of its own, so the next key is a boundary too.
+    """
     if sample.empty:
         return []
     upto = np.cumsum(sample["w"].to_numpy())
     at = np.searchsorted(upto, upto[-1] * np.arange(1, ranges) / ranges)
-    picked = sample.iloc[np.unique(at)]
-    return list(dict.fromkeys(zip(picked["k"].tolist(), picked["d"].tolist())))
+    picked = sample.iloc[at]
+    times = Counter(zip(picked["k"].tolist(), picked["d"].tolist()))
+    return sorted({*times, *[_next_key(key) for key, n in times.items() if n > 1]})
 
 
 def _with_range(keyed: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
@@ -87,25 +98,35 @@ def _weigh(keyed: DataFrame, splitters: list[tuple[int, int]]) -> tuple[np.ndarr
     return size, count
 
 
+def _one_key(splitters: list[tuple[int, int]]) -> np.ndarray:
+    """For each range, whether it can hold one key only."""
+    alone = [False, *[_next_key(a) == b for a, b in zip(splitters, splitters[1:])], False]
+    return np.array(alone[: len(splitters) + 1])
+
+
 def find_splitters(keyed: DataFrame, ranges: int, samples: int = SAMPLES_PER_RANGE) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Boundaries of about ``ranges`` ranges of rows ``(k, d, size)``, with each range's bytes and rows."""
+    """Boundaries of about ``ranges`` ranges of rows ``(k, d, size)``, with each range's bytes and rows.
+
+    Afterwards only ranges of a single key, or of a single row, may be overfull.
+    """
     total = keyed.agg(F.sum("size")).first()[0] or 0
     if not total:
         return [], np.zeros(1, np.int64), np.zeros(1, np.int64)
     splitters = _quantiles(_sample(keyed, ranges * samples / total), ranges)
     size, count = _weigh(keyed, splitters)
-    fair = total / ranges
-    for turn in range(1, ROUNDS + 1):
-        over = np.flatnonzero((size > OVERFULL * fair) & (count > 1))
-        if not len(over):
-            break
+    fair, dense, turn = total / ranges, RESAMPLE, 0
+    while len(over := np.flatnonzero((size > OVERFULL * fair) & (count > 1) & ~_one_key(splitters))):
+        turn += 1
         inside = _with_range(keyed, splitters).filter(F.col("range").isin([int(x) for x in over])).drop("range")
-        drawn = _sample(inside, RESAMPLE * samples / fair, turn)
+        drawn = _sample(inside, dense * samples / fair, turn)
         more = set(_quantiles(drawn, 4 * int(np.ceil(size[over].sum() / fair)))) - set(splitters)
-        if not more:
-            break
-        splitters = sorted([*splitters, *more])
-        size, count = _weigh(keyed, splitters)
+        if more:
+            splitters = sorted([*splitters, *more])
+            size, count = _weigh(keyed, splitters)
+        else:
+            dense *= RESAMPLE
+            if dense > RESAMPLE * fair / samples:  # every row has been drawn
+                break
     return splitters, size, count
 
 
@@ -115,26 +136,49 @@ def sharded(
 ) -> DataFrame:
     """``(id, size, text_crc32, shard, slot)``: shards of nearly equal bytes, slots without gaps in key order.
 
-    Ranges, not shards, are the unit of work when slots are counted, so no task holds a shard.
+    Ranges, not shards, are the unit of work when slots are counted, so no task holds a shard. An
+    overfull range of one key holds rows that nothing tells apart: they are numbered over all of
+    them and cut into stretches of a fair range's bytes.
     """
+    spark = docs.sparkSession
     keyed = written(
         docs.select(
             F.col(id_col), byte_size(F.col(text_col)).alias("size"),
             F.coalesce(F.crc32(F.col(text_col)), F.lit(0)).cast("bigint").alias("text_crc32"),
             F.xxhash64(F.col(text_col)).alias("k"), F.xxhash64(F.col(id_col).cast("string")).alias("d"),
+            F.monotonically_increasing_id().alias("e"),
         ),
         "shard-keys",
     )
-    splitters, size, count = find_splitters(keyed.select("k", "d", "size"), shards * ranges_per_shard)
+    ranges = shards * ranges_per_shard
+    splitters, size, count = find_splitters(keyed.select("k", "d", "e", "size"), ranges)
     total = max(1, int(size.sum()))
-    middle = np.cumsum(size) - size / 2
-    shard = np.minimum(shards - 1, (middle * shards / total).astype(np.int64))
-    before = np.cumsum(count) - count
-    first = {int(s): int(before[shard == s].min()) for s in np.unique(shard)}
-    placed = [(i, int(s), int(before[i]) - first[int(s)]) for i, s in enumerate(shard)]
-    ranges = docs.sparkSession.createDataFrame(placed, "range int, shard int, first_slot bigint")
-    order = Window.partitionBy("range").orderBy("k", "d")
-    numbered = _with_range(keyed, splitters).withColumn("_row", F.row_number().over(order) - 1)
-    return numbered.join(ranges, "range").select(
-        id_col, "size", "text_crc32", "shard", (F.col("first_slot") + F.col("_row")).alias("slot")
+    hot = (size > OVERFULL * total / ranges) & (count > 1) & _one_key(splitters)
+    units, steps = [], []  # (range, stretch, rows, bytes) in order; (range, rows of a stretch)
+    for i, (n, s) in enumerate(zip(count.tolist(), size.tolist())):
+        step = max(1, int(total / ranges * n / s)) if hot[i] else max(1, n)
+        if hot[i]:
+            steps.append((i, step))
+        units += [(i, j, min(step, n - j * step), s / n * min(step, n - j * step)) for j in range(-(-n // step))]
+    weights = np.array([u[3] for u in units] or [0.0])
+    shard = np.minimum(shards - 1, ((np.cumsum(weights) - weights / 2) * shards / total).astype(np.int64))
+    placed, taken = [], Counter()
+    for (i, j, n, _), s in zip(units, shard.tolist()):
+        placed.append((i, j, s, taken[s]))
+        taken[s] += n
+    places = spark.createDataFrame(placed, "range int, stretch bigint, shard int, first_slot bigint")
+    ranged = _with_range(keyed, splitters)
+    order = Window.partitionBy("range").orderBy("k", "d", "e")
+    names = [id_col, "size", "text_crc32", "range"]
+    plain = ranged.filter(~F.col("range").isin([i for i, _ in steps])) if steps else ranged
+    zero = F.lit(0).cast("bigint")
+    numbered = plain.withColumns({"stretch": zero, "row": F.row_number().over(order) - 1}).select(*names, "stretch", "row")
+    if steps:
+        cut = spark.createDataFrame(steps, "range int, step bigint")
+        inside = ranged.join(F.broadcast(cut), "range").select(*names, "step")
+        nth = running_totals(inside, ["range"], [], {"nth": F.lit(1)})
+        at = F.col("nth") - 1
+        numbered = numbered.unionByName(nth.select(*names, F.floor(at / F.col("step")).alias("stretch"), (at % F.col("step")).alias("row")))
+    return numbered.join(places, ["range", "stretch"]).select(
+        id_col, "size", "text_crc32", "shard", (F.col("first_slot") + F.col("row")).alias("slot")
     )

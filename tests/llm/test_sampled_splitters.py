@@ -56,3 +56,20 @@ def test_nulls_long_texts_ties_and_few_rows(spark):
     assert P.sharded(spark.createDataFrame([], SCHEMA), 4).count() == 0
     same = [(7, "t")] * 500  # nothing tells these rows apart
     check(P.sharded(spark.createDataFrame(same, SCHEMA), 4).collect(), same, 4, 10)
+
+
+def test_a_third_of_all_rows_are_equal(spark):
+    """Equal in id and text, so that only their number can part them: the law holds all the same."""
+    rng = random.Random(6)
+    for key, text in ((None, "z" * 1000), (3, None)):
+        data = [(key, text)] * 1000 + [(10 + i, "x" * rng.randint(0, 1500)) for i in range(2000)]
+        by = check(P.sharded(spark.createDataFrame(data, SCHEMA).repartition(5), 8).collect(), data, 8, 0.02)
+        assert sorted(by) == list(range(8))
+
+
+def test_a_hot_key_beside_few_others(spark):
+    data = [(1, "same")] * 3000 + [(2, "same")] * 40 + [(i, f"t{i}") for i in range(50)]
+    # A shard may be off by half a range at either end.
+    check(P.sharded(spark.createDataFrame(data, SCHEMA), 8, ranges_per_shard=16).collect(), data, 8, 1 / 16)
+    large = [(1, "l" * 100_000), (2, "s"), (3, "t"), (3, "t")]
+    assert len(P.sharded(spark.createDataFrame(large, SCHEMA), 3).collect()) == 4
