@@ -18,6 +18,7 @@ with the same id are ordered by a hash of their text; an empty table gives no re
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -77,12 +78,36 @@ def open_stream(path: str, mode: str):
     return store.open_output_stream(inner) if mode == "w" else store.open_input_file(inner)
 
 
+#: The settings under which a text's ids are those of its words in a row.
+WORDWISE = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": [
+        {
+            "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def is_wordwise(settings: dict) -> bool:
+    """Whether a vocabulary file normalises and parts texts as the short ways of :class:`Encoder` expect."""
+    normalizer, parting = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+    return (
+        normalizer.get("normalizers") == WORDWISE["normalizer"] and parting.get("pretokenizers") == WORDWISE["pre_tokenizer"]
+        and settings["model"].get("type") == "BPE" and not settings["model"].get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in settings["added_tokens"])
+    )
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library.
 
     The vocabulary drops white space and merges only inside a word, so a text's ids are its
     words' ids in a row, and a word seen before need not be encoded again. Texts with unusual
-    white space go through the library in one piece.
+    white space go through the library in one piece, and all texts do under a vocabulary with
+    other settings.
     """
 
     def __init__(self, path: str):
@@ -90,6 +115,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.wordwise = is_wordwise(json.loads(self.library.to_str()))
         self.words: dict[str, bytes] = {}
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
@@ -99,7 +125,8 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         core = word.rstrip(".,")
-        if core != word and core.isalpha():
+        # A letter whose lower case ends in a combining sign joins the signs behind it.
+        if core != word and core.isalpha() and core.lower().isalpha():
             ids = self.get(core) + self.get(word[len(core) :])
         elif word.isascii() and word.isalpha():  # lower case is all that is done to such a word before the merges
             ids = np.array([t.id for t in self.library.model.tokenize(word.lower())], dtype=self.dtype).tobytes()
@@ -116,7 +143,7 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
-        if UNSURE_SPACE.search(text):
+        if not self.wordwise or UNSURE_SPACE.search(text):
             return self.whole(text)
         words = text.split()
         found = list(map(self.words.get, words))

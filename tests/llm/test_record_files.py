@@ -39,6 +39,33 @@ def test_word_by_word_equals_whole_texts(library):
     assert encode("") == b"" and encode("   ") == b""
 
 
+def test_letters_that_grow_when_lowered(library):
+    encode = R.Encoder(queries.vocabulary())
+    assert encode.wordwise
+    for text in ("LİSTESİ.", "TEKLİFİ,", "İ", "İ.", "İ,.", "aİ.b", "ẞİ,", "İstanbul. ve İZMİR,", "Iİ.,"):
+        assert np.frombuffer(encode(text), encode.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    rng = random.Random(8)
+    letters = [chr(c) for c in range(0xC0, 0x250)] + ["İ", "ı", "ẞ", "ﬁ", "ǅ", "ΐ", "ΰ", "Σ", "ς", "a", "B"]
+    for _ in range(4000):
+        text = " ".join("".join(rng.choices(letters, k=rng.randint(1, 5))) + rng.choice(["", ".", ",", ".,"]) for _ in range(4))
+        assert np.frombuffer(encode(text), encode.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_other_vocabularies_go_through_the_library(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    settings = json.load(open(queries.vocabulary()))
+    settings["normalizer"] = {"type": "NFC"}  # keeps capitals
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(settings))
+    encode, library = R.Encoder(str(path)), Tokenizer.from_file(str(path))
+    assert not encode.wordwise
+    for text in ("Some Words.", "LİSTESİ, ABC", ""):
+        assert np.frombuffer(encode(text), encode.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_query_equals_the_library(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
     got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.op9_token_records(spark, "/root/testdata/sf0.001").collect()}
