@@ -23,6 +23,7 @@ nothing; a table without frequent phrases gives no rows; repeated rows count eac
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylens.llm.common import worker_state
 from staylens.session import scratch_dir
 
 UNKNOWN = "und"
@@ -45,6 +45,8 @@ SCALE = 1_000_000
 FILTER_BITS, BITS_EACH = 1 << 28, 16
 #: Words of a run in one row; windows and words that a task counts before it sends them on.
 RUN, BUFFER, WORD_BUFFER = 1 << 11, 1 << 21, 1 << 19
+#: Words whose keys a task remembers.
+KNOWN_WORDS = 1 << 19
 #: Parts in which a language's phrases are ranked before its best meet.
 PARTS = 64
 
@@ -100,29 +102,29 @@ def _key(seed: int):
 
 
 def _python_key(seed: int):
-    """The same hash in a task, with the words seen lately at hand."""
+    """The same hash in a task, with each language's words seen lately at hand."""
     import xxhash
 
-    state = worker_state()
-    if getattr(state, "phrase_seed", None) != seed:
-        state.phrase_seed, state.phrase_keys = seed, {}
-    known = state.phrase_keys
+    known: dict[str, dict[bytes, int]] = {}
+    size = 0
     base = xxhash.xxh64_intdigest(str(seed).encode(), 42)
 
     def keys(lang: str, words: list[bytes]) -> list[int]:
-        if len(known) > 1 << 20:
+        nonlocal size
+        if size > KNOWN_WORDS:
             known.clear()
+            size = 0
         own = known.setdefault(lang, {})
-        if len(own) > 1 << 20:
-            own.clear()
         try:
             return [own[w] for w in words]
         except KeyError:
             start = xxhash.xxh64_intdigest(lang.encode(), base)
+            size -= len(own)
             for w in words:
                 if w not in own:
                     key = xxhash.xxh64_intdigest(w, start)
                     own[w] = key - (1 << 64) if key >> 63 else key
+            size += len(own)
             return [own[w] for w in words]
 
     return keys
@@ -234,18 +236,18 @@ def first_relation(docs: DataFrame, table: np.ndarray, seed: int, max_words: int
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, number = _python_key(seed), TaskContext.get().partitionId() << 40
-        held: list[int] = []
+        held = array("q")
         spans: list[tuple[int, int, int, int]] = []  # piece, first position, own, size
 
         def sent() -> Iterator[pa.RecordBatch]:
             if not spans:
                 return
-            values = np.array(held, np.int64)
+            values = np.array(held)
             piece, first, own, sizes = (np.array(x, np.int64) for x in zip(*spans))
             row = np.repeat(np.arange(len(sizes)), sizes)
             pos = np.arange(len(values)) - (np.cumsum(sizes) - sizes)[row]
             row, start, stop, owned = _cut(_holds(shared.value, [values]), row, pos, own, 1)
-            held.clear()
+            del held[:]
             spans.clear()
             if len(row):
                 yield _batch(piece[row], first[row] + pos[start], owned, start, stop, values)
@@ -258,7 +260,7 @@ def first_relation(docs: DataFrame, table: np.ndarray, seed: int, max_words: int
                 found = keys(lang, words)
                 for at in range(0, len(found), RUN):
                     part = found[at : at + RUN + max_words - 1]
-                    held.extend(part)
+                    held.fromlist(part)
                     spans.append((number, at, min(RUN, len(part)), len(part)))
                     if len(held) >= BUFFER:
                         yield from sent()
