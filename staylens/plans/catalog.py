@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from staylens.plans import (
-    booking_models, booking_questions, model_facts, model_questions, scale_questions, stream_questions as S, table_questions as T,
+    booking_models, booking_questions, handover_questions, model_facts, model_questions, scale_questions, stream_questions as S, table_questions as T,
 )
 from staylens.session import configure
 
@@ -43,5 +43,5 @@ def queries() -> dict[str, Query]:
     table = {name: getattr(T, name) for name in _TABLE_NAMES}
     table |= {name: getattr(S, name) for name in _STREAM_NAMES}
     table |= booking_questions.QUERIES | booking_models.QUERIES | model_questions.QUERIES
-    table |= model_facts.QUERIES | scale_questions.QUERIES
+    table |= model_facts.QUERIES | scale_questions.QUERIES | handover_questions.QUERIES
     return {name: _configured(query) for name, query in table.items()}

@@ -5,7 +5,7 @@ Only the shaping of reservation rows shares its expressions with the Spark side.
 
 from __future__ import annotations
 
-from staylens.plans import model_facts, scale_questions
+from staylens.plans import handover_questions, model_facts, scale_questions
 from staylens.plans.questions import MONTHS
 from staylens.plans.stays import EXPRESSIONS, bookings_sql
 
@@ -652,4 +652,5 @@ def _model_sql() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     facts = model_facts.oracle_sql(_split_bucket("doc_id"), f"{_CLEAN}, {_TAGGED}")
-    return _table_sql() | _stream_sql() | _booking_sql() | _model_sql() | scale_questions.oracle_sql() | facts
+    known = _table_sql() | _stream_sql() | _booking_sql() | _model_sql() | scale_questions.oracle_sql() | facts
+    return known | handover_questions.oracle_sql(known, _CLEAN)

