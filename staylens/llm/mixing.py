@@ -5,9 +5,12 @@ the choice needs no sort, and a larger budget takes a superset of a smaller one'
 threshold is found 12 bits at a time: sum the sizes per source and bucket, walk the buckets to
 the one in which the budget ends, and look only at that bucket's rows in the next step. A
 source may be asked for more than it has: whole repeats are taken first, the rest by threshold.
+In the end one hash value a source is left. Where several rows have it, as rows equal in id
+and text do, they alone are numbered, and as many are taken as come nearest to the target.
+Ranks and sums over sources go over ranges, so sources may be as many as addresses.
 
-Defined results: null text has size 0; null sources are one source, ordered last; rows equal in
-id and text share a hash and are taken alike; a source without words gets target 0; an empty
+Defined results: null text has size 0; null sources are one source, ordered last; of rows equal in
+id and text any may be the ones that are taken; a source without words gets target 0; an empty
 table gives an empty mix.
 """
 
@@ -19,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.common import WORD, fresh_name, written
+from staylens.operators.scan import running_totals
 
 HASH_BITS, STEP_BITS = 60, 12
 WEIGHTS = (3, 1, 2)
@@ -42,33 +46,31 @@ def source_targets(
 
     All sources share ``share`` times the total by weight; a target stops at ``most`` times
     its source's size and the excess goes to the others by weight, until none is above. That
-    end point is one common level: target = min(level * weight, most * size). Sources are
-    already summed, so ranking them in one window is a small step.
+    end point is one common level: target = min(level * weight, most * size).
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
     table = F.array(*[F.lit(w) for w in weights])
-    ranked = sources.withColumn("weight", F.get(table, (F.row_number().over(order) - 1) % len(weights)))
     capped = F.lit(most) * F.col("source_size")
+    listed = sources.withColumns({"_last": F.col("source").isNull(), "_capped": capped})
+    ranked = running_totals(listed, [], ["_last", "source"], {"_nth": F.lit(1)})
+    ranked = ranked.withColumn("weight", F.get(table, ((F.col("_nth") - 1) % len(weights)).cast("int")))
+    ranked = ranked.withColumn("_ratio", F.col("_capped") / F.col("weight"))
     # With k sources capped the level is (budget - their caps) / (the other weights); the true one is the largest.
-    by_ratio = Window.orderBy(capped / F.col("weight"), F.col("source").isNull(), "source")
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    level = (
-        F.sum("source_size").over(everything) * F.lit(float(share))
-        - F.coalesce(F.sum(capped).over(before), F.lit(0))
-    ) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    return (
-        ranked.withColumn("_level", level)
-        .withColumn("_level", F.max("_level").over(everything))
-        .select("source", "source_size", F.least(capped.cast("double"), F.col("_level") * F.col("weight")).alias("target"))
+    upto = {"_caps": F.col("_capped"), "_weights": F.col("weight")}
+    walked = written(running_totals(ranked, [], ["_ratio", "_last", "source"], upto), "mix-sources")
+    total, weight = walked.agg(F.sum("source_size"), F.sum("weight")).first()
+    before = F.lit(total).cast("bigint") * F.lit(float(share)) - (F.col("_caps") - F.col("_capped"))
+    level = walked.agg(F.max(before / (F.lit(weight).cast("bigint") - (F.col("_weights") - F.col("weight"))))).first()[0]
+    return walked.select(
+        "source", "source_size", F.least(capped.cast("double"), F.lit(level).cast("double") * F.col("weight")).alias("target")
     )
 
 
 def mixture_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """Per source ``(source, source_size, target, whole, cut)`` from rows ``(source, size, hash)``.
+    """Per source ``(source, source_size, target, whole, cut, left, at_cut)`` from rows ``(source, size, hash)``.
 
-    A row is taken ``whole`` times, and once more if its hash is below ``cut``. ``rows`` is
-    read once per step, so it should be a written narrow table.
+    A row is taken ``whole`` times, and once more if its hash is below ``cut``. Of the ``at_cut`` rows
+    at ``cut`` itself those are taken, in any order, that bring their sum nearest to ``left``; a negative cut
+    takes none. ``rows`` is read once per step, so it should be a written narrow table.
     """
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(totals, weights, share, most)
@@ -86,24 +88,28 @@ def mixture_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
             at, rows["source"].eqNullSafe(F.col("_source")) & (F.shiftright("hash", low + STEP_BITS) == F.col("_prefix"))
         )
         bucket = F.shiftright("hash", low)
-        sums = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"))
+        sums = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
         walk = Window.partitionBy("source").orderBy("bucket")
         sums = sums.withColumn("upto", F.sum("size").over(walk)).withColumnRenamed("source", "_source")
         crossed = state.join(sums, state["source"].eqNullSafe(F.col("_source")) & (F.col("upto") > F.col("left")), "left")
-        first = crossed.groupBy(*keys, "left", "prefix").agg(F.min(F.struct("bucket", "upto", "size")).alias("edge"))
+        first = crossed.groupBy(*keys, "left", "prefix").agg(F.min(F.struct("bucket", "upto", "size", "rows")).alias("edge"))
         last = ((F.col("prefix") + 1) * (1 << STEP_BITS)) - 1
         # No bucket reaches the budget only where nothing is left to take from: the empty end of the range.
         found = first.select(
             *keys,
             F.when(F.col("edge").isNull(), F.col("left")).otherwise(F.col("left") - F.col("edge.upto") + F.col("edge.size")).alias("left"),
             F.coalesce(F.col("edge.bucket"), last).alias("prefix"),
-            F.coalesce(F.col("edge.size"), F.lit(0)).alias("edge_size"),
+            F.coalesce(F.col("edge.rows"), F.lit(0)).alias("at_cut"),
         )
         state = written(found, "mix-step")
-    # One hash value is left per source: take it if that comes nearer to the target.
-    cut = F.col("prefix") + F.when(F.col("left") * 2 >= F.col("edge_size"), 1).otherwise(0)
-    cut = F.when(F.col("target") > F.col("whole") * F.col("source_size"), cut).otherwise(0)
-    return written(state.select(*keys, cut.alias("cut")), "mix-plan")
+    # Nothing beyond the whole repeats is wanted: below every hash.
+    cut = F.when(F.col("target") > F.col("whole") * F.col("source_size"), F.col("prefix")).otherwise(-1)
+    return written(state.select(*keys, cut.alias("cut"), "left", "at_cut"), "mix-plan")
+
+
+def _nearest(left: Column, size: Column, upto: Column) -> Column:
+    """Whether a row at the cut brings the sum of those before it nearer to ``left``; ``upto`` is the sum with it."""
+    return 2 * (left - (upto - size)) >= size
 
 
 def with_takes(
@@ -124,10 +130,23 @@ def with_takes(
     plan = plan.select(
         F.col("source").alias("_plan_source"), F.col("source_size").alias(names["source_size"]),
         F.col("target").alias(names["target"]), F.col("whole").alias("_whole"), F.col("cut").alias("_cut"),
+        F.col("left").alias("_left"), F.col("at_cut").alias("_at_cut"),
     )
-    takes = F.col("_whole") + (F.col(names["hash"]) < F.col("_cut")).cast("bigint")
     joined = sized.join(plan, F.col("_mix_source").eqNullSafe(F.col("_plan_source")))
-    return joined.withColumn(names["takes"], takes).drop("_mix_source", "_plan_source", "_whole", "_cut", names["hash"]), names
+    size, hash_, left = F.col(names["size"]), F.col(names["hash"]), F.col("_left")
+    columns = [*keep, names["size"], names["source_size"], names["target"]]
+
+    def taken(rows: DataFrame, at_cut: Column) -> DataFrame:
+        more = F.when(hash_ == F.col("_cut"), at_cut).otherwise(hash_ < F.col("_cut"))
+        return rows.select(*columns, (F.col("_whole") + more.cast("bigint")).alias(names["takes"]))
+
+    alone = _nearest(left, size, size)
+    if plan.filter(F.col("_at_cut") > 1).isEmpty():
+        return taken(joined, alone), names
+    several = (hash_ == F.col("_cut")) & (F.col("_at_cut") > 1)
+    equal = running_totals(joined.filter(several), ["_mix_source"], [], {"_upto": size})
+    rest = taken(joined.filter(~several), alone)
+    return rest.unionByName(taken(equal, _nearest(left, size, F.col("_upto")))), names
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -106,7 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # Sources in order of code points weigh 3, 1, 2, ...; the level is the largest candidate over the number of capped
-# sources; rows are taken by ascending hash while they fit, the last hash value if it comes nearer to the target.
+# sources; rows are taken by ascending hash while they fit, of the last hash value as many as come nearest to the target.
 _MIX = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -127,11 +127,13 @@ g AS (
 c AS (
   SELECT g.source, g.h, p.target - p.whole * p.source_size AS budget, g.g, g.upto,
     row_number() OVER (PARTITION BY g.source, g.upto > p.target - p.whole * p.source_size ORDER BY g.h) AS nth
-  FROM g JOIN p ON g.source IS NOT DISTINCT FROM p.source)
-SELECT d.doc_id, d.size, p.source_size, p.target,
-  CAST(d.size * (p.whole + CASE WHEN c.upto <= c.budget OR (c.nth = 1 AND 2 * (c.budget - c.upto + c.g) >= c.g) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
-JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.h = d.h
+  FROM g JOIN p ON g.source IS NOT DISTINCT FROM p.source),
+e AS (SELECT *, sum(size) OVER (PARTITION BY source, h ORDER BY size ROWS UNBOUNDED PRECEDING) - size AS earlier FROM d)
+SELECT e.doc_id, e.size, p.source_size, p.target,
+  CAST(e.size * (p.whole + CASE WHEN c.budget <= 0 THEN 0 WHEN c.upto <= c.budget THEN 1
+    WHEN c.nth = 1 AND 2 * (c.budget - (c.upto - c.g) - e.earlier) >= e.size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM e JOIN p ON e.source IS NOT DISTINCT FROM p.source
+JOIN c ON c.source IS NOT DISTINCT FROM e.source AND c.h = e.h
 """
 
 _NEAREST = """

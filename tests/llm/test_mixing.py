@@ -82,3 +82,31 @@ def test_mixed_keeps_columns_and_repeats(spark):
     copies = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert copies == {r["doc_id"]: r["takes"] for r in rows_of(df.select("doc_id", "text", "source")) if r["takes"]}
     assert M.mixed(df.limit(0)).count() == 0
+
+
+def test_half_of_a_source_are_equal_rows(spark):
+    """Equal in id and text, so they share a hash: they are parted all the same."""
+    rng = random.Random(7)
+    data = [(1, " ".join(["w"] * 20), "hot")] * 500 + [(10 + i, "w " * rng.randint(1, 9), "hot") for i in range(500)]
+    data += [(5000 + i, "v " * 30, s) for i, s in enumerate(["a", "b"] * 400)] + [(None, None, None)] * 300 + [(None, "x y", None)] * 300
+    df = spark.createDataFrame(data, SCHEMA)
+    for share in (0.4, 0.9, 1.5):
+        sums, target = defaultdict(int), {}
+        rows, names = M.with_takes(df, keep=["doc_id", "source"], share=share)
+        for r in rows.collect():
+            sums[r["source"]] += r[names["takes"]] * r[names["size"]]
+            target[r["source"]] = r[names["target"]]
+        assert all(abs(sums[s] - target[s]) <= 20 for s in target), (sums, target)
+        assert len(target) == 4
+
+
+def test_very_many_sources(spark):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "repeat('w ', CAST(id % 7 AS INT)) AS text", "CAST(id % 6000 AS STRING) AS source")
+    rows = rows_of(df)
+    sizes = {}
+    for i in range(20_000):
+        sizes[str(i % 6000)] = sizes.get(str(i % 6000), 0) + i % 7
+    want, got = fill(sizes), {}
+    for r in rows:
+        got[str(r["doc_id"] % 6000)] = r["target"]
+    assert all(abs(got[s] - want[s]) < 1e-6 for s in sizes)
