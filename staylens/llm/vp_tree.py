@@ -1,15 +1,18 @@
 """Nearest neighbours by vantage-point trees, one a shard.
 
 A shard is up to ``SHARD_ROWS`` consecutive vectors of an input partition, so the index is built
-where the rows are, without a shuffle and whatever their keys are. Its tree splits on the
+where the rows are, without a shuffle and whatever their keys are, once, and written: vectors in
+tree order with the tree's nodes. Its tree splits on the
 distance to a vantage point: the near half inside the median radius, the far half outside. A
 query with current k-th distance t skips a half if the triangle inequality puts it further
 away than t. ``factor`` relaxes this: the bound is multiplied by it first, so 1 is exact search
 and larger factors skip more and may miss neighbours.
 
-Queries travel in blocks to groups of shards (a stated query set against all rows, in blocks);
-a task holds one block and one group, and keeps the k nearest of the block over the group. What
-is left are k rows for each query and group, cut by a ranked window.
+Shards are dealt to groups once. Queries travel to them in blocks (a stated query set against all
+rows, in blocks): a task opens the trees of a group, then takes one block after the other past
+them, so it never holds more than a group and a batch of blocks. The k-th distance that a
+block has reached in one tree prunes the next. What is left are k rows for each query and group, cut by a
+ranked window.
 
 Defined results: rows without an id and vectors that are null, empty, zero or hold a null or
 non-finite component take no part, and vectors of other length than the query's are no candidates; equal distances go to the
@@ -33,9 +36,11 @@ from staylens.llm.common import written
 SHARD_ROWS = 4096
 LEAF_ROWS = 128
 BLOCK_ROWS = 512
-#: Shards searched by one task for one block of queries.
-GROUP_SHARDS = 8
+#: Shards that a task holds, and groups that a small index is dealt to all the same.
+GROUP_SHARDS, LEAST_GROUPS = 16, 32
 EXACT = 1.0
+#: A stored node; its fields are those of :class:`Tree`.
+NODE = np.dtype([("low", "<i8"), ("high", "<i8"), ("vantage", "<i8"), ("radius", "<f8"), ("inner", "<i8"), ("outer", "<i8")])
 
 
 def usable(vector: Column) -> Column:
@@ -84,6 +89,16 @@ class Tree:
                 self.nodes[at] = (low, high, low, radius, inner, outer)
         return at
 
+    def pack(self) -> dict:
+        return {**_packed(self.ids, self.points), "nodes": np.array(self.nodes, dtype=NODE).tobytes()}
+
+    @classmethod
+    def unpack(cls, row) -> Tree:
+        tree = cls.__new__(cls)
+        tree.ids, tree.points = _unpacked(row)
+        tree.nodes = np.frombuffer(row.nodes, dtype=NODE).tolist()
+        return tree
+
 
 class Nearest:
     """The k best so far of a block of queries: by distance, then id."""
@@ -166,8 +181,11 @@ def _unpacked(row) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(row.ids, "<i8"), np.frombuffer(row.points, "<f8").reshape(-1, row.dim)
 
 
-def _chunks(vectors: DataFrame, rows: int) -> DataFrame:
-    """Packs of up to ``rows`` vectors of one length, cut from each input partition in turn."""
+_PACK = "part int, n int, dim int, ids binary, points binary, nodes binary"
+
+
+def _chunks(vectors: DataFrame, rows: int, indexed: bool) -> DataFrame:
+    """Packs of up to ``rows`` vectors of one length, cut from each input partition in turn; with their tree if ``indexed``."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, n, held = TaskContext.get().partitionId(), 0, {}
@@ -175,8 +193,9 @@ def _chunks(vectors: DataFrame, rows: int) -> DataFrame:
         def flush(dim: int) -> pd.DataFrame:
             nonlocal n
             ids, points = zip(*held.pop(dim))
+            ids, points = np.array(ids), np.stack(points)
             n += 1
-            return pd.DataFrame([{"part": part, "n": n, **_packed(np.array(ids), np.stack(points))}])
+            return pd.DataFrame([{"part": part, "n": n, **(Tree(ids, points).pack() if indexed else {**_packed(ids, points), "nodes": None})}])
 
         for batch in batches:
             for key, vector in zip(batch["id"], batch["vector"]):
@@ -187,7 +206,53 @@ def _chunks(vectors: DataFrame, rows: int) -> DataFrame:
         for dim in list(held):
             yield flush(dim)
 
-    return vectors.mapInPandas(pack, "part int, n int, dim int, ids binary, points binary")
+    return vectors.mapInPandas(pack, _PACK)
+
+
+def _sound(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    return rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
+
+
+def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """The stored index: one row a shard."""
+    return written(_chunks(_sound(vectors, id_col, vector_col), SHARD_ROWS, True), "vector-index")
+
+
+def search_index(index: DataFrame, queries: DataFrame, k: int = 10, factor: float = EXACT, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the k nearest indexed rows for each row of ``queries``."""
+    asked = _sound(queries, id_col, vector_col).distinct()
+    blocks = written(_chunks(asked, BLOCK_ROWS, False), "query-blocks")
+    count = index.count()
+    groups = max(1, -(-count // GROUP_SHARDS), min(count, LEAST_GROUPS))
+    own = F.pmod(F.xxhash64("part", "n"), F.lit(groups)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    rows = index.select(own.alias("group"), F.lit(0).alias("kind"), "*").unionByName(blocks.select(every.alias("group"), F.lit(1).alias("kind"), "*"))
+    dealt = rows.repartition(groups, "group").sortWithinPartitions("group", "kind", "part", "n")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, trees = None, []
+        for batch in batches:
+            for row in batch.itertuples():
+                if row.group != at:
+                    at, trees = row.group, []
+                if row.kind == 0:
+                    trees.append(Tree.unpack(row))
+                    continue
+                ids, points = _unpacked(row)
+                best = Nearest(ids, points, k)
+                for tree in trees:
+                    if tree.points.shape[1] == row.dim:
+                        best.search(tree, factor)
+                q, column = np.nonzero(np.isfinite(best.dist))
+                if len(q):
+                    tags = np.array([int.from_bytes(hashlib.blake2b(p.tobytes(), digest_size=8).digest(), "little", signed=True) for p in points])
+                    yield pd.DataFrame({"query_id": ids[q], "tag": tags[q], "vec_id": best.ids[q, column], "score": best.dist[q, column]})
+
+    near = dealt.mapInPandas(search, "query_id bigint, tag bigint, vec_id bigint, score double")
+    order = Window.partitionBy("query_id", "tag").orderBy("score", "vec_id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
 
 
 def neighbours(
@@ -195,35 +260,4 @@ def neighbours(
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest rows of ``vectors`` for each row of ``queries``."""
-    def sound(df: DataFrame) -> DataFrame:
-        rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-        return rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
-
-    shards = written(_chunks(sound(vectors), SHARD_ROWS), "vector-shards")
-    asked = sound(queries).distinct()
-    blocks = written(_chunks(asked, BLOCK_ROWS), "query-blocks").withColumn("block", F.xxhash64("part", "n"))
-    groups = max(1, -(-shards.count() // GROUP_SHARDS))
-    # Every block is sent to every group of shards; each meets the group's shards by equal keys.
-    sent = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    shards = shards.withColumn("group", F.pmod(F.xxhash64("part", "n"), F.lit(groups)).cast("int"))
-    pairs = sent.select(F.col("block").alias("to"), F.col("group").alias("of"), F.col("dim").alias("length"))
-    held = shards.join(pairs, (F.col("group") == F.col("of")) & (F.col("dim") == F.col("length")))
-    held = held.select("to", "of", "part", "n", "dim", "ids", "points")
-
-    def search(held: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"query_id": [], "tag": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "tag": "int64", "vec_id": "int64"})]
-        for block in sent.itertuples():
-            ids, points = _unpacked(block)
-            best = Nearest(ids, points, k)
-            for shard in held.sort_values(["part", "n"]).itertuples():
-                best.search(Tree(*_unpacked(shard)), factor)
-            row, column = np.nonzero(np.isfinite(best.dist))
-            tags = np.array([int.from_bytes(hashlib.blake2b(p.tobytes(), digest_size=8).digest(), "little", signed=True) for p in points])
-            found.append(pd.DataFrame({"query_id": ids[row], "tag": tags[row], "vec_id": best.ids[row, column], "score": best.dist[row, column]}))
-        return pd.concat(found, ignore_index=True)
-
-    met = held.groupBy("to", "of").cogroup(sent.groupBy("block", "group"))
-    near = met.applyInPandas(search, "query_id bigint, tag bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id", "tag").orderBy("score", "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
+    return search_index(build_index(vectors, id_col, vector_col), queries, k, factor, id_col, vector_col)
