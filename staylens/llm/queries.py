@@ -153,7 +153,7 @@ SELECT * FROM r WHERE rank <= 10
 # Captures are those that the operator's module makes from pages; the join is an as-of join on address and time.
 _REVISITS = r"""
 WITH u AS (
-  SELECT page_id, html, md5(html) AS digest, 't' || CAST(page_id AS VARCHAR) AS date,
+  SELECT page_id, html, page_id % 9 AS nth, md5(html) AS digest, md5(html || '-') AS old_digest, 't' || CAST(page_id AS VARCHAR) AS date,
     regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i:https?)://(?:(?i:www)\d*\.)?', '') AS bare FROM pages),
 c AS (
   SELECT *, lower(regexp_replace(regexp_extract(bare, '^[^/?]*'), ':(?:80|443)$', ''))
@@ -161,20 +161,28 @@ c AS (
     array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
       lambda p: p <> '' AND NOT regexp_matches(p, '^(?i:utm_[a-z]+)='))), '&') AS query FROM u),
 p AS (SELECT *, place || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS address FROM c),
-f AS (SELECT page_id * 2 AS id, page_id * 3600 AS t, address, digest, date, coalesce(octet_length(encode(html)), 0) AS size FROM p WHERE html IS NOT NULL),
+f AS (
+  SELECT page_id * 2 AS id, page_id * 3600 AS t, address, CASE WHEN nth <> 2 THEN '"' || digest || '"' END AS tag,
+    CASE WHEN nth <> 2 THEN date END AS modified, date, octet_length(encode(html)) AS size FROM p WHERE html IS NOT NULL
+  UNION ALL
+  SELECT -page_id - 1, page_id * 3600 - 900, address, '"' || old_digest || '"', date || '-', date || '-', octet_length(encode(html))
+  FROM p WHERE html IS NOT NULL),
 r AS (
-  SELECT page_id * 2 + 1 AS id, page_id * 3600 + 1800 AS t, address, date,
-    CASE WHEN page_id % 7 = 6 THEN NULL WHEN page_id % 5 = 4 THEN '"other"' ELSE 'W/"' || digest || '"' END AS tag FROM p),
+  SELECT page_id * 2 + 1 AS id, page_id * 3600 + CASE nth WHEN 0 THEN -1000 WHEN 1 THEN -100 ELSE 1800 END AS t, address,
+    CASE WHEN nth = 1 THEN date || '-' ELSE date END AS modified,
+    CASE WHEN page_id % 7 = 6 THEN NULL WHEN page_id % 5 = 4 THEN '"other"'
+      ELSE 'W/"' || CASE WHEN nth = 1 THEN old_digest ELSE digest END || '"' END AS tag FROM p),
 j AS (
-  SELECT r.*, f.id AS found, f.digest, f.date AS of_date, f.size,
+  SELECT r.*, f.id AS found, f.tag AS of_tag, f.date AS of_date, f.size,
     CASE WHEN f.id IS NULL THEN 'no_response'
-      WHEN r.tag IS NOT NULL THEN CASE WHEN regexp_replace(r.tag, '^W/', '') = '"' || f.digest || '"' THEN 'resolved' ELSE 'validator_mismatch' END
-      WHEN r.date = f.date THEN 'resolved' ELSE 'validator_mismatch' END AS outcome
+      WHEN r.tag IS NOT NULL AND f.tag IS NOT NULL THEN CASE WHEN regexp_replace(r.tag, '^W/', '') = f.tag THEN 'resolved' ELSE 'validator_mismatch' END
+      WHEN f.modified IS NULL THEN 'no_validator'
+      WHEN r.modified = f.modified THEN 'resolved' ELSE 'validator_mismatch' END AS outcome
   FROM r ASOF LEFT JOIN f ON r.address = f.address AND r.t > f.t)
 SELECT id AS record_id, address AS canonical_url, outcome, CASE WHEN outcome = 'resolved' THEN found END AS refers_to,
   CASE WHEN outcome = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: ' || size, 'content-type: text/html',
-      'date: ' || of_date, 'etag: ' || coalesce(tag, '"' || digest || '"'), 'last-modified: ' || date)
-    ELSE concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: 0', 'etag: ' || tag, 'last-modified: ' || date, 'server: cache') END AS headers
+      'date: ' || of_date, 'etag: ' || coalesce(tag, of_tag), 'last-modified: ' || modified)
+    ELSE concat_ws(chr(10), 'cache-control: max-age=120', 'content-length: 0', 'etag: ' || tag, 'last-modified: ' || modified, 'server: cache') END AS headers
 FROM j
 """
 

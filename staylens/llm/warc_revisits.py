@@ -117,29 +117,47 @@ def with_payload(resolved: DataFrame, records: DataFrame, id_col: str = "record_
 def captures_of_pages(pages: DataFrame) -> DataFrame:
     """Capture records made from a table of pages, as the pages have no capture log of their own.
 
-    Each page with content gives a full response, and each page a revisit half an hour later
-    under another spelling of its address; a fifth come with another entity tag, a seventh
-    with a date alone. Pages are an hour apart.
+    Pages are an hour apart. Each with content gives two full responses, a quarter of an hour apart, of
+    which every ninth page's second one has no validators; and each page gives one revisit under
+    another spelling of its address. Most come half an hour after the second response, every ninth between the two
+    (with the first one's validators), every ninth before both. A fifth come with another entity tag,
+    a seventh with a date alone.
     """
-    etag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
-    date = F.concat(F.lit("t"), F.col("page_id").cast("string"))
-    full = F.map_from_arrays(
-        F.array(*[F.lit(x) for x in ("Content-Type", "Content-Length", "ETag", "Last-Modified", "Cache-Control", "Date")]),
-        F.array(F.lit("text/html"), F.coalesce(F.octet_length("html"), F.lit(0)).cast("string"), etag, date, F.lit("max-age=60"), date),
+    page, place = F.col("page_id"), F.col("page_id") % 9
+    size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("string")
+
+    def quoted(mark: str) -> Column:
+        return F.concat(F.lit('"'), F.md5(F.concat("html", F.lit(mark))), F.lit('"'))
+
+    def dated(mark: str) -> Column:
+        return F.concat(F.lit("t"), page.cast("string"), F.lit(mark))
+
+    def headers(**values: Column) -> Column:
+        names = [F.lit(n.replace("_", "-")) for n in values]
+        return F.map_filter(F.map_from_arrays(F.array(*names), F.array(*values.values())), lambda k, v: v.isNotNull())
+
+    def response(id_: Column, time: Column, mark: str, checked: Column) -> Column:
+        own = headers(
+            Content_Type=F.lit("text/html"), Content_Length=size, ETag=F.when(checked, quoted(mark)),
+            Last_Modified=F.when(checked, dated(mark)), Cache_Control=F.lit("max-age=60"), Date=dated(mark),
+        )
+        return _capture(id_, F.col("url"), time, True, own)
+
+    first = response(-page - 1, page * 3600 - 900, "-", F.lit(True))
+    second = response(page * 2, page * 3600, "", place != 2)
+    between = place == 1
+    tag = F.when(page % 5 == 4, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), F.when(between, quoted("-")).otherwise(quoted(""))))
+    again = headers(
+        ETag=F.when(page % 7 != 6, tag), Last_Modified=F.when(between, dated("-")).otherwise(dated("")),
+        Cache_Control=F.lit("max-age=120"), Content_Length=F.lit("0"), Server=F.lit("cache"),
     )
-    own = F.when(F.col("page_id") % 5 == 4, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), etag))
-    again = F.map_from_arrays(
-        F.array(*[F.lit(x) for x in ("ETag", "Last-Modified", "Cache-Control", "Content-Length", "Server")]),
-        F.array(F.when(F.col("page_id") % 7 != 6, own), date, F.lit("max-age=120"), F.lit("0"), F.lit("cache")),
-    )
-    again = F.map_filter(again, lambda k, v: v.isNotNull())
-    response = F.struct(
-        (F.col("page_id") * 2).alias("record_id"), F.col("url").alias("url"), (F.col("page_id") * 3600).alias("captured"),
-        F.lit(True).alias("is_full"), full.alias("headers"),
-    )
-    revisit = F.struct(
-        (F.col("page_id") * 2 + 1).alias("record_id"), F.concat(F.col("url"), F.lit("#again")).alias("url"),
-        (F.col("page_id") * 3600 + 1800).alias("captured"), F.lit(False).alias("is_full"), again.alias("headers"),
+    time = page * 3600 + F.when(place == 0, -1000).when(between, -100).otherwise(1800)
+    revisit = _capture(page * 2 + 1, F.concat(F.col("url"), F.lit("#again")), time, False, again)
+    records = F.when(F.col("html").isNotNull(), F.array(first, second, revisit)).otherwise(F.array(revisit))
+    return pages.select(F.explode(records).alias("r")).select("r.*")
+
+
+def _capture(id_: Column, url: Column, time: Column, full: bool, headers: Column) -> Column:
+    return F.struct(
+        id_.alias("record_id"), url.alias("url"), time.cast("bigint").alias("captured"), F.lit(full).alias("is_full"), headers.alias("headers")
     )
-    both = F.when(F.col("html").isNotNull(), F.array(response, revisit)).otherwise(F.array(revisit))
-    return pages.select(F.explode(both).alias("r")).select("r.*")

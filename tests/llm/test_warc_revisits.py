@@ -85,3 +85,14 @@ def test_timestamps_payloads_and_empty_table(spark):
 def test_query_has_every_kind(spark):
     rows = queries.op3_resolve_revisits(spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 250 and {r["outcome"] for r in rows} >= {"resolved", "validator_mismatch"}
+
+
+def test_query_tells_all_outcomes_apart(spark):
+    """Responses before and after, without validators, and none at all: each does its work in the query."""
+    rows = queries.op3_resolve_revisits(spark, "/root/testdata/sf0.01").collect()
+    counts = {}
+    for r in rows:
+        counts[r["outcome"]] = counts.get(r["outcome"], 0) + 1
+    assert set(counts) == {W.RESOLVED, W.NO_RESPONSE, W.NO_VALIDATOR, W.MISMATCH} and min(counts.values()) >= 20
+    targets = [r["refers_to"] for r in rows if r["refers_to"] is not None]
+    assert any(t < 0 for t in targets) and any(t >= 0 for t in targets)  # the first and the second response
