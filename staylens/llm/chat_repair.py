@@ -8,13 +8,16 @@ keep it, relabel it, merge it with the turn before, or put empty turns before it
 Turns are put in order of conversation and turn over all tasks, so one conversation may span
 many. Most lie within one task and are solved there. For the few at task borders (the first
 and last of a task) each task's stretch becomes a small table of least costs from each state to
-each; these tables are chained, and then every stretch is solved between its known end states.
+each. Chaining the tables gives every stretch the costs that a walk over the whole chat would have at
+its start. From these each stretch tells which state its best way to each end state starts in;
+chaining that from the chat's end backwards gives its end state, and then every stretch is solved.
 
 Defined results: null text is empty; role names are compared in lower case without outer space;
 null and unknown roles must be relabelled; null conversation ids are one conversation; turns
-with equal numbers are ordered by role and text, null numbers come first; the marks of the
+with equal numbers are ordered by role and the SHA-256 of their text, null numbers come first; the marks of the
 format are broken up inside texts; an empty table gives no rows. Of repairs with equal cost the
-one with the earlier roles in ``ROLES`` is taken, task by task.
+one is taken that, from the chat's end backwards, has the earlier state in ``ROLES`` (the start last);
+so it does not depend on how turns lie in tasks.
 """
 
 from __future__ import annotations
@@ -165,8 +168,10 @@ def repaired(
     rows = turns.select(
         F.col(conv_col).cast("string").alias("conv"), F.col(turn_col).cast("bigint").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")
     )
-    order = ["conv", "turn", "role", "text"]
-    ranged = rows.repartitionByRange("conv", "turn").sortWithinPartitions(*order)
+    # Rows that nothing else parts have a number, written before rows are ranged by it.
+    numbered = written(rows.withColumns({"mark": F.sha2("text", 256), "tie": F.monotonically_increasing_id()}), "chat-rows")
+    order = ["conv", "turn", "role", "mark", "tie"]
+    ranged = numbered.repartitionByRange(*order).sortWithinPartitions(*order).drop("mark", "tie")
     placed = written(ranged.withColumn("at", F.monotonically_increasing_id()), "chat-turns")
     placed = placed.withColumn("task", F.shiftright("at", TASK_BITS))
     # Conversations that more than one task holds: at most one a border. They have a name here that is never null.
@@ -201,31 +206,43 @@ def repaired(
         return pd.DataFrame({"name": [rows["name"].iloc[0]], "task": [rows["task"].iloc[0]], "costs": [sum(costs, [])]})
 
     def chained(tables: pd.DataFrame) -> pd.DataFrame:
-        """Start costs and end state of each stretch of one conversation: as many rows as tasks hold it."""
+        """Costs at the start of each stretch of one conversation: as many rows as tasks hold it."""
         tables = tables.sort_values("task", ignore_index=True)
-        steps = [np.array(c).reshape(STATES, STATES) for c in tables["costs"]]
         at = [start_costs()]
-        for m in steps:
-            at.append((at[-1][:, None] + m).min(axis=0))
-        end = end_state(at[-1])
-        states = [end]
-        for cost, m in zip(at[-2::-1], steps[::-1]):
-            states.append(int(np.argmin(cost + m[:, states[-1]])))
-        states = states[::-1]
-        last = [i == len(steps) - 1 for i in range(len(steps))]
-        return pd.DataFrame({"name": tables["name"], "task": tables["task"], "first": states[:-1], "last": states[1:], "final": last})
-
-    stretches = border.select("name", "task", "at", "role").groupBy("name", "task").applyInPandas(table, "name string, task bigint, costs array<double>")
-    bounds = stretches.groupBy("name").applyInPandas(chained, "name string, task bigint, first int, last int, final boolean")
-    bounds = written(bounds, "chat-bounds")
+        for c in tables["costs"]:
+            at.append((at[-1][:, None] + np.array(c).reshape(STATES, STATES)).min(axis=0))
+        last = [i == len(tables) - 1 for i in range(len(tables))]
+        return pd.DataFrame({"name": tables["name"], "task": tables["task"], "costs": [c.tolist() for c in at[:-1]], "final": last})
+
+    def ways(rows: pd.DataFrame) -> pd.DataFrame:
+        """For each end state of a stretch the state its best way starts in, and the end state it has as the chat's end."""
+        codes = [role_code(r) for r in rows.sort_values("at")["role"]]
+        costs, trail = forward(codes, np.array(rows["costs"].iloc[0]))
+        starts = [backward(trail, s)[0][0] if np.isfinite(costs[s]) else -1 for s in range(STATES)]
+        return pd.DataFrame({"name": [rows["name"].iloc[0]], "task": [rows["task"].iloc[0]], "starts": [starts], "end": [end_state(costs)]})
+
+    def linked(tables: pd.DataFrame) -> pd.DataFrame:
+        tables = tables.sort_values("task", ascending=False, ignore_index=True)
+        ends = [int(tables["end"].iloc[0])]
+        for starts in tables["starts"].iloc[:-1]:
+            ends.append(int(starts[ends[-1]]))
+        return pd.DataFrame({"name": tables["name"], "task": tables["task"], "last": ends})
+
+    keys = ["name", "task"]
+    stretches = border.select(*keys, "at", "role").groupBy(*keys).applyInPandas(table, "name string, task bigint, costs array<double>")
+    starts = stretches.groupBy("name").applyInPandas(chained, "name string, task bigint, costs array<double>, final boolean")
+    starts = written(starts, "chat-starts")
+    tables = border.select(*keys, "at", "role").join(starts.select(*keys, "costs"), keys).groupBy(*keys)
+    tables = tables.applyInPandas(ways, "name string, task bigint, starts array<int>, end int")
+    bounds = written(tables.groupBy("name").applyInPandas(linked, "name string, task bigint, last int").join(starts, keys), "chat-bounds")
 
     def between(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at", ignore_index=True)
         codes = [role_code(r) for r in rows["role"]]
-        _, trail = forward(codes, start_costs(int(rows["first"].iloc[0])))
+        _, trail = forward(codes, np.array(rows["costs"].iloc[0]))
         return _solved(rows, backward(trail, int(rows["last"].iloc[0])), codes, bool(rows["final"].iloc[0]))
 
-    across = border.join(bounds, ["name", "task"]).groupBy("name", "task").applyInPandas(between, OUT)
+    across = border.join(bounds, keys).groupBy(*keys).applyInPandas(between, OUT)
     return inside.unionByName(across)
 
 

@@ -109,3 +109,27 @@ def test_query_keeps_every_turn(spark):
     rows = queries.op4_chat_repair(spark, folder).collect()
     turns = spark.read.parquet(f"{folder}/conversations.parquet").collect()
     assert sorted((r["conv_id"], r["turn"], r["role"]) for r in rows) == sorted((t["conv_id"], t["turn"], t["role"]) for t in turns)
+
+
+def test_repairs_do_not_depend_on_the_partitioning(spark, many_tasks):
+    """Many repairs cost the same; which one is taken may not change with the number of tasks."""
+    rng = random.Random(8)
+    rows = [(1, t // 2, rng.choice(["system", "user", "assistant", "bot", None]), f"x{t}") for t in range(1200)]
+    rows += [(None, 5, rng.choice(["user", "assistant"]), "same") for t in range(600)] + [(2, t, "user", "u") for t in range(700)]
+    rows += [(3 + i, t, rng.choice(["user", "assistant", "system"]), f"y{t}") for i in range(60) for t in range(rng.randint(1, 6))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    old, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts, split in (("1", 1), ("7", 3), ("50", 11)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(chats(C.repaired(df.repartition(split))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 63
+
+
+def test_turns_that_nothing_tells_apart_lie_in_several_tasks(spark, many_tasks):
+    rows = [(None, 1, "user", "the same turn")] * 2000 + [(i, 1, "user", "x") for i in range(1000)]
+    out = C.repaired(spark.createDataFrame(rows, SCHEMA))
+    tasks = [r["count"] for r in out.filter("conv IS NULL").groupBy(F.shiftright("at", C.TASK_BITS)).count().collect()]
+    assert len(tasks) >= 4 and max(tasks) <= 1000 and out.count() == 3000
