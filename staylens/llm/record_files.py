@@ -24,7 +24,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,25 @@ HEAD, HEAD_SIZE = "<qBB", 10
 #: White space that not all engines agree on: texts that have any are encoded in one piece.
 UNSURE_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 CACHED_WORDS = 600_000
+#: Letters that are composed already and whose lower case is one letter: ASCII and Latin-1.
+PLAIN_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: What the vocabulary parts a word into: letters, one digit, or signs; apostrophes and special tokens are left out.
+SEGMENT = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=>?@\[-`{-~]+")
+SEGMENTS = re.compile(f"(?:{SEGMENT.pattern})+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Latin-1 letters as the byte-level vocabularies spell their two UTF-8 bytes.
+
+    Bytes that print in Latin-1 stand for themselves there, the others for code points from 256 on, in order.
+    """
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in printed]
+    spelled = {b: chr(b) for b in printed} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+BYTE_LETTERS = byte_letters()
 
 
 def masked(data: bytes) -> int:
@@ -101,6 +120,20 @@ def is_wordwise(settings: dict) -> bool:
     )
 
 
+class Words(dict):
+    """Ids of the words seen lately; an unseen word is encoded where it is looked up."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encode(word)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library.
 
@@ -116,40 +149,32 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.wordwise = is_wordwise(json.loads(self.library.to_str()))
-        self.words: dict[str, bytes] = {}
+        self.words = Words(self.word)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
 
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def word(self, word: str) -> bytes:
+        if PLAIN_LETTERS.fullmatch(word):  # such a word is lowered and spelled in bytes before the merges
+            return self.packed([t.id for t in self.library.model.tokenize(word.lower().translate(BYTE_LETTERS))])
+        if SEGMENTS.fullmatch(word):
+            parts = SEGMENT.findall(word)
+            return b"".join(map(self.words.__getitem__, parts)) if len(parts) > 1 else self.whole(word)
         core = word.rstrip(".,")
         # A letter whose lower case ends in a combining sign joins the signs behind it.
         if core != word and core.isalpha() and core.lower().isalpha():
-            ids = self.get(core) + self.get(word[len(core) :])
-        elif word.isascii() and word.isalpha():  # lower case is all that is done to such a word before the merges
-            ids = np.array([t.id for t in self.library.model.tokenize(word.lower())], dtype=self.dtype).tobytes()
-        else:
-            ids = self.whole(word)
-        return ids
-
-    def get(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            ids = self.words[word] = self.word(word)
-        return ids
+            return self.words[core] + self.words[word[len(core) :]]
+        return self.whole(word)
 
     def __call__(self, text: str) -> bytes:
         if not self.wordwise or UNSURE_SPACE.search(text):
             return self.whole(text)
-        words = text.split()
-        found = list(map(self.words.get, words))
-        if None in found:
-            found = [self.get(w) if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 def encoder(path: str) -> Encoder:

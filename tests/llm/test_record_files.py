@@ -51,6 +51,14 @@ def test_letters_that_grow_when_lowered(library):
         assert np.frombuffer(encode(text), encode.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_segments_of_a_word(library):
+    encode, rng = R.Encoder(queries.vocabulary()), random.Random(9)
+    signs = [chr(c) for c in range(0x21, 0x7F)] + [chr(c) for c in range(0xA0, 0x100)] + ["ĳ", "́", "<|", "|>", "'s", "'ll", "٣", "²", "日"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(signs, k=rng.randint(1, 7)))
+        assert np.frombuffer(encode(text), encode.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_other_vocabularies_go_through_the_library(tmp_path):
     import json
 
