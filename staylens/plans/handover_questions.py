@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylens.ml import facts, prep
@@ -71,6 +73,12 @@ def saved_pipeline_facts(spark: SparkSession, folder: str) -> DataFrame:
     return facts.union([facts.stated(spark, "pipeline", shape), both, stored_rows])
 
 
+def first_rows(batch: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows and their ``place``, whatever order the partitions of a batch arrive in."""
+    first = batch.orderBy(*order).limit(n)
+    return first.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 def stream_sorted_display(spark: SparkSession, folder: str) -> DataFrame:
     """What a console in complete mode shows: the windows with most events, sorted, the first rows only."""
     counts = M.windowed_counts(event_stream(spark, folder), ["event_type"], F.col("is_canceled"), duration="1 hour")
@@ -78,7 +86,7 @@ def stream_sorted_display(spark: SparkSession, folder: str) -> DataFrame:
     order = [F.desc("total_bookings"), F.asc("window_start"), F.asc("event_type")]
 
     def show(batch: DataFrame, number: int) -> None:
-        batch.limit(SHOWN).coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1).write.mode("overwrite").parquet(f"{path}/shown")
+        first_rows(batch, order, SHOWN).write.mode("overwrite").parquet(f"{path}/shown")
 
     start(counts, "sorted_display", f"{path}/checkpoint", mode="complete", every=None, order_by=order, handler=show).awaitTermination()
     return _plain_times(spark.read.parquet(f"{path}/shown"))
