@@ -20,11 +20,14 @@ only a document that consists of one leaks it.
 
 Documents are cut, hashed and joined in one stage of generated code when the benchmark's windows
 are small enough for Spark to send them to every task; otherwise both sides are shuffled by hash.
-A window that more than ``COMMON`` items share (a stem of many questions) is not joined to all of
-them: it is looked up only where a rarer window of the item was found, at the place it must then
-have. Every item has such rarer windows: those fewer items share, or its own least shared ones. Of
-more than ``COMMON`` items with one template throughout, which are re-parameterisations of each other,
-the one with the smallest id and text stands for all.
+Windows that more than ``COMMON`` items share (a stem of many questions) need not be joined to all of
+them: a leak takes ``k`` of an item's ``n`` places, so it has at least one of any ``n - k + 1``. The ``k - 1``
+places whose windows most items share are therefore left out of the first join, and looked up, at every place of the
+document, where another window of the item was found. No leak is lost.
+
+Items with the same windows whose slot values are equal at the same places (re-parameterisations of each other)
+are judged alike by any document. Of more than ``COMMON`` such items the one with the smallest id and text stands for
+the class; :func:`item_classes` says which, and ``every_item`` gives a row for each of them, with its own values.
 
 Defined results: null texts match nothing; rows equal in id and text are judged once; items are told
 apart by id (null is one) and text: equal texts are reported under each id, and of several texts of
@@ -33,7 +36,7 @@ one id the one with the most windows is; an empty table gives no leaks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens.llm.common import fresh_name, let, written
@@ -199,29 +202,66 @@ def _items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame
     return benchmark.select(F.col(item_col).alias("item"), F.xxhash64(text).alias("item_hash"), text.alias("text")).dropDuplicates(ITEM)
 
 
-def benchmark_windows(items: DataFrame) -> DataFrame:
-    """Windows of the items, with ``anchor`` where they are joined as they are; large families by one item."""
+def _all_windows(items: DataFrame) -> DataFrame:
+    """Windows of the items that count, with the values of their slots."""
     found = _item_windows(items).select(*ITEM, "pos", "hash", "inside", _slots(F.col("words"), F.col("slotted")).alias("slots"))
     found = found.filter(F.size("slots") <= WINDOW // 2).groupBy(*ITEM, "pos", "hash", "slots").agg(F.min("inside").alias("inside"))
-    found = written(found, "benchmark-windows")
-    # An item's windows are as many as its words, so its template is a bounded array.
-    own = F.sort_array(F.collect_set(F.when(~F.col("inside"), F.struct("pos", "hash"))))
-    templates = found.groupBy(*ITEM).agg(F.sha2(F.to_json(own), 256).alias("template"))
-    families = templates.groupBy("template").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct(*ITEM)).alias("first"))
-    large = families.filter(F.col("members") > COMMON)
-    spare = templates.join(large, "template").filter(~F.col("first").eqNullSafe(F.struct(*ITEM))).select(*ITEM)
-    spare = _prefixed(spare, ITEM)
+    return written(found, "benchmark-windows")
+
+
+def _classes(found: DataFrame) -> DataFrame:
+    """``(item, item_hash, first, values)`` of the items in large classes; equal places in ``values`` stand for each other.
+
+    A class has the same windows in every reading, with values that are equal at the same places; its sums and
+    decisions do not depend on the values themselves. An item's windows are as many as its words, so they are a bounded array.
+    """
+    own = F.sort_array(F.collect_list(F.struct("pos", "hash", "inside", "slots")))
+    rows = found.groupBy(*ITEM).agg(own.alias("own"))
+    placed = F.flatten(F.transform("own", lambda w: F.transform(w["slots"], lambda s: F.struct((w["pos"] + s["at"]).alias("place"), s["value"].alias("value")))))
+    rows = rows.withColumn("values", F.array_distinct(F.transform(F.sort_array(placed), lambda s: s["value"])))
+    shape = let(
+        F.col("values"),
+        lambda known: F.transform(
+            "own",
+            lambda w: F.struct(
+                w["pos"].alias("pos"), w["hash"].alias("hash"), w["inside"].alias("inside"),
+                F.transform(w["slots"], lambda s: F.struct(s["at"].alias("at"), F.array_position(known, s["value"]).alias("value"))).alias("slots"),
+            ),
+        ),
+    )
+    rows = rows.select(*ITEM, "values", F.sha2(F.to_json(shape), 256).alias("shape"))
+    classes = rows.groupBy("shape").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct(*ITEM)).alias("first"))
+    return written(rows.join(classes.filter(F.col("members") > COMMON), "shape").select(*ITEM, "first", "values"), "benchmark-classes")
+
+
+def item_classes(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(item, item_hash, first)``: items of large classes and the item, by id and hash, that stands for them."""
+    return _classes(_all_windows(_items(benchmark, item_col, item_text_col))).select(F.col("item").alias(item_col), "item_hash", "first")
+
+
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """Windows of the items, with ``anchor`` where they are joined as they are; large classes by one item."""
+    found = _all_windows(items)
+    return _anchored(found, _classes(found))
+
+
+def _anchored(found: DataFrame, classes: DataFrame) -> DataFrame:
+    spare = _prefixed(classes.filter(~F.col("first").eqNullSafe(F.struct(*ITEM))).select(*ITEM), ITEM)
     found = found.join(spare, _same(found, spare, ITEM), "left_anti")
     shared = found.groupBy("hash").agg(F.countDistinct(F.struct(*ITEM)).alias("shared"))
-    joined = found.join(shared, "hash")
-    least = _prefixed(joined.groupBy(*ITEM).agg(F.min("shared").alias("least")), ITEM)
-    marked = joined.join(least, _same(joined, least, ITEM))
-    anchor = (F.col("shared") <= COMMON) | (F.col("shared") == F.col("least"))
+    joined = written(found.join(shared, "hash"), "benchmark-shared")
+    places = joined.groupBy(*ITEM, "pos").agg(F.max("shared").alias("most"), F.min("inside").alias("inside"))
+    item = Window.partitionBy(*ITEM)
+    rank = F.row_number().over(item.orderBy(F.desc("most"), "pos"))
+    needed = F.least(F.lit(NEEDED), F.count_if(~F.col("inside")).over(item))
+    spared = _prefixed(places.select(*ITEM, "pos", (rank < needed).alias("spared")), [*ITEM, "pos"])
+    marked = joined.join(spared, _same(joined, spared, [*ITEM, "pos"]))
+    anchor = (F.col("shared") <= COMMON) | ~F.col("spared")
     return written(marked.select(*ITEM, "pos", "hash", "slots", "inside", anchor.alias("anchor")), "benchmark-anchors")
 
 
 def _matches(rows: DataFrame, item_windows: DataFrame) -> DataFrame:
-    """Windows of documents that are an item's: by hash for anchors, by hash and place for the others."""
+    """Windows of documents that are an item's: by hash for anchors; the others where an anchor of the item was found."""
     named = [*DOC, *ITEM, "item_pos", "inside", "shift", "item_slots", "words"]
     right = item_windows.select("hash", *ITEM, "inside", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "anchor")
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
@@ -231,27 +271,58 @@ def _matches(rows: DataFrame, item_windows: DataFrame) -> DataFrame:
     if common.isEmpty():
         return met
     met = written(met, "leak-anchors")
-    runs = met.select(*DOC, *ITEM, "shift").distinct()
     side = _prefixed(common, ITEM)
-    wanted = runs.join(side, _same(runs, side, ITEM)).select(*named[:6], "shift", "item_slots", "hash", (F.col("item_pos") + F.col("shift")).alias("pos"))
-    touched = _prefixed(runs.select(*DOC).distinct(), DOC)
+    hits = met.select(*DOC, *ITEM).distinct()
+    # Only where the item has such a window at all: the others need no second look.
+    wanted = hits.join(side, _same(hits, side, ITEM)).select(*DOC, *ITEM, "item_pos", "inside", "item_slots", "hash")
+    touched = _prefixed(wanted.select(*DOC).distinct(), DOC)
     again = _windows(rows.join(touched, _same(rows, touched, DOC), "left_semi"), DOC, "text").drop("slotted")
-    place = [*DOC, "pos", "hash"]
+    place = [*DOC, "hash"]
     again = _prefixed(again, place)
-    return met.unionByName(wanted.join(again, _same(wanted, again, place)).select(*named))
+    others = wanted.join(again, _same(wanted, again, place)).withColumn("shift", shift)
+    return met.unionByName(others.select(*named))
+
+
+def _changed(pairs: Column) -> Column:
+    """How many of a run's values are not the item's own."""
+    return F.size(F.filter(pairs, lambda p: p["item"] != p["doc"]))
+
+
+def _members(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """``found`` with a row for every item of a class; what was changed is told by the item's own values."""
+    key = [F.col(f"first.{n}").alias(f"_first_{n}") for n in ITEM]
+    firsts = classes.filter(F.col("first").eqNullSafe(F.struct(*ITEM))).select(F.col("first").alias("of"), F.col("values").alias("first_values"))
+    members = _prefixed(classes, ITEM, "_own_").join(firsts, F.col("first").eqNullSafe(F.col("of")))
+    members = members.select(*key, *[f"_own_{n}" for n in ITEM], "values", "first_values")
+    joined = found.join(members, _same(found, members, ITEM, "_first_"), "left")
+    own = F.col("values").isNotNull()
+
+    def value(p: Column) -> Column:
+        return F.get("values", (F.array_position("first_values", p["item"]) - 1).cast("int"))
+
+    renamed = F.transform("runs", lambda r: F.transform(r, lambda p: F.struct(value(p).alias("item"), p["doc"].alias("doc"))))
+    changed = F.array_max(F.transform(renamed, _changed)).cast("bigint")
+    return joined.select(
+        *DOC, *[F.when(own, F.col(f"_own_{n}")).otherwise(F.col(n)).alias(n) for n in ITEM], "windows", "item_windows", "slots",
+        F.when(own, changed).otherwise(F.col("changed")).alias("changed"),
+    )
 
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", every_item: bool = False,
 ) -> DataFrame:
     """``(id, hash, item, windows, item_windows, slots, changed, kind)``, one row a document and item that leaks by its template.
 
     ``hash`` is the text's, so that id and hash name a row where ids repeat. The benchmark's
     windows are written first: their size is then known, and Spark sends them to every task
-    only if they are small.
+    only if they are small. Items of a large class are one row, under the item that stands for them; with ``every_item``
+    each has its own.
     """
-    item_windows = benchmark_windows(_items(benchmark, item_col, item_text_col))
+    all_windows = _all_windows(_items(benchmark, item_col, item_text_col))
+    classes = _classes(all_windows)
+    every_item = every_item and not classes.isEmpty()
+    item_windows = _anchored(all_windows, classes)
     needed = item_windows.filter(~F.col("inside")).groupBy(*ITEM).agg(F.countDistinct("pos").alias("item_windows"))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     met = _matches(rows, item_windows)
@@ -275,12 +346,15 @@ def leaks(
     found = runs.groupBy(*DOC, *ITEM).agg(
         places("own").alias("own"), places("places").alias("all"),
         F.max(F.size("pairs")).cast("bigint").alias("slots"),
-        F.max(F.size(F.filter("pairs", lambda p: p["item"] != p["doc"]))).cast("bigint").alias("changed"),
+        F.max(_changed(F.col("pairs"))).cast("bigint").alias("changed"),
+        *([F.collect_set("pairs").alias("runs")] if every_item else []),
     )
     needed = _prefixed(needed, ITEM)
     least = F.least(F.lit(NEEDED), F.col("item_windows"))
     enough = found.join(needed, _same(found, needed, ITEM)).filter(F.col("all") >= least)
     enough = enough.withColumn("windows", F.when(F.col("own") >= least, F.col("own")).otherwise(F.col("all")))
+    if every_item:
+        enough = _members(enough, classes)
     names = ["windows", "item_windows", "slots", "changed"]
     best = enough.groupBy(*DOC, "item").agg(F.max(F.struct(*names)).alias("best"))
     kind = F.when(F.col("best.changed") > 0, "reparameterised").otherwise("verbatim")
@@ -354,9 +428,9 @@ def benchmark_usable(items: DataFrame) -> DataFrame:
     return found.filter(F.size("slots") <= WINDOW // 2).select(*ITEM).distinct()
 
 
-def all_leaks(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
+def all_leaks(docs: DataFrame, benchmark: DataFrame, every_item: bool = False, **columns) -> DataFrame:
     """Leaks by template and, of items without one, as a whole."""
-    return leaks(docs, benchmark, **columns).unionByName(whole_item_leaks(docs, benchmark, **columns))
+    return leaks(docs, benchmark, every_item=every_item, **columns).unionByName(whole_item_leaks(docs, benchmark, **columns))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -215,3 +215,54 @@ def test_a_family_of_one_template_is_judged_by_one_item(spark):
     assert set(got) == {(1, 100)} and got[1, 100]["kind"] == "reparameterised"
     few = found(spark, docs, [(i, question(i)) for i in range(100, 104)])
     assert set(few) == {(1, i) for i in range(100, 104)}
+
+
+def each(spark, docs, items):
+    rows = T.all_leaks(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM), every_item=True).collect()
+    assert len(rows) == len({(r["doc_id"], r["item_id"], r["text_hash"]) for r in rows})
+    return {(r["doc_id"], r["item_id"]): (r["windows"], r["item_windows"], r["changed"]) for r in rows}
+
+
+def test_a_stem_of_many_items_is_a_leak_of_all_of_them(spark):
+    """Fourteen words are seven windows, enough for a leak, and none of them is rare; a second text has six of them at two places."""
+    stem = "please read the following story with care and then answer this one question now"
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    items = [(i, f"{stem} " + " ".join(word() for _ in range(12))) for i in range(T.COMMON + 9)]
+    parted = " ".join([*stem.split()[:10], word(), word(), *stem.split()[4:]])
+    docs = [(1, f"x {stem}"), (2, " ".join(stem.split()[:12])), (3, items[5][1]), (4, f"{parted} {' '.join(items[7][1].split()[14:])}")]
+    got = each(spark, docs, items)
+    assert got == plain_leaks(docs, items)
+    assert {i for d, i in got if d == 1} == {i for i, _ in items} and not any(d == 2 for d, _ in got)
+
+
+def test_every_item_of_a_large_class_and_items_that_only_look_like_it(spark):
+    def question(a, b):
+        return f"the farmer counted {a} sheep and sold half of them to {b} people in town before noon today"
+
+    items = [(0, question(5, 5))] + [(i, question(i, i + 1000)) for i in range(100, 100 + T.COMMON + 9)]
+    docs = [(1, f"x {question(7, 8)} y"), (2, f"x {question(110, 1110)} y"), (3, f"x {question(6, 6)} y"), (4, f"x {question(110, 8)}")]
+    got = each(spark, docs, items)
+    assert got == plain_leaks(docs, items)
+    assert got[2, 110][2] == 0 and got[4, 110][2] == 1 and (1, 0) not in got and (3, 0) in got
+    first = found(spark, docs, items)
+    assert (1, 100) in first and len(first) < len(got)
+    members = T.item_classes(spark.createDataFrame(items, ITEM)).collect()
+    assert sorted(r["item_id"] for r in members) == [i for i, _ in items[1:]] and {r["first"]["item"] for r in members} == {100}
+
+
+def test_random_texts_of_large_classes_equal_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(T, "COMMON", 2)
+    rng = random.Random(12)
+    parts = ["the old man ran far so fast that day", "she had a plan and then went home alone again", "then Anna gave 12 km to Tom and 12 more", "we saw 5 kg of x1 for Tom or Bob there"]
+    def text():
+        out = " ".join(rng.choices(parts, k=rng.randint(1, 4)))
+        for _ in range(rng.randint(0, 3)):
+            out = out.replace(rng.choice(["Anna", "Tom", "Bob", "12", "5"]), rng.choice(["Anna", "Tom", "Zoe", "77", "8"][:3] if rng.random() < 0.5 else ["77", "8"]), 9)
+        return out
+    items = [(i, text()) for i in range(40)]
+    docs = [(i, "so it went on. " * rng.randint(0, 3) + text() + " and " + text()) for i in range(40)]
+    exact = T.COMMON
+    got = each(spark, docs, items)
+    monkeypatch.setattr(T, "COMMON", 10**6)
+    assert exact == 2 and got == each(spark, docs, items) and len(got) > 40
