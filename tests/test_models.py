@@ -178,3 +178,26 @@ def test_document_features_use_whole_texts(spark, small):
     for row in got.collect():
         assert row["n_digits"] == sum(c in "0123456789" for c in texts[row["doc_id"]])
         assert row["n_chars"] == len(texts[row["doc_id"]])
+
+
+def test_fits_part_large_splits_and_keep_their_rows(spark, monkeypatch):
+    from staylens import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    rows = spark.range(0, 1000, 1, 2)
+    assert session.spread(rows).rdd.getNumPartitions() == 10 and session.spread(rows.limit(50)).rdd.getNumPartitions() == 1
+    assert session.spread(spark.range(0, 1000, 1, 20)).rdd.getNumPartitions() == 20
+    assert sorted(r["id"] for r in session.spread(rows).collect()) == list(range(1000))
+
+
+def test_stored_sides_are_those_of_the_split(spark, small):
+    from staylens.operators import features, split
+    from staylens.plans import booking_models
+    from staylens.plans.booking_questions import cleaned
+    from staylens.schemas import TARGET
+
+    stored = booking_models.sides(spark, small)
+    made = split.stratified_split(features.extract(cleaned(spark, small)), TARGET)
+    for a, b in zip(stored, made):
+        assert a.columns == b.columns and a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
