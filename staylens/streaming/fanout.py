@@ -1,6 +1,7 @@
 """All reservation monitors from one read and one parse of the source.
 
-Every micro-batch is parsed once and reduced to sums per window and key. Sums of
+Every micro-batch is parsed once and reduced, in one pass, to sums per minute and all keys, of which the
+sums per window and key of each monitor are made. Sums of
 different batches add up, so no streaming state is needed, a late event is never lost,
 and a batch that is run again just overwrites its own folder.
 """
@@ -24,6 +25,8 @@ from staylens.streaming.run import start
 AMOUNT_SCALE = 6
 AMOUNT = 10**AMOUNT_SCALE
 _SUMS = ["total", "confirmed", "canceled", "amount", "rated", "nights", "stays"]
+#: All that the monitors group or choose by.
+_KEYS = ["hotel", "deposit_type", "reserved_room_type", "country", "is_canceled"]
 
 
 @dataclass(frozen=True)
@@ -85,20 +88,29 @@ SUMMARIES = {
 }
 
 
-def sums(events: DataFrame, summary: Summary) -> DataFrame:
-    """Sums of one batch."""
-    window = F.window("event_timestamp", summary.duration, summary.slide)
-    nights = F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights")
-    flag = F.col("is_canceled")
+def minutes(events: DataFrame) -> DataFrame:
+    """Sums of one batch per minute and all keys of the monitors, whose windows all begin and end with a minute."""
+    night = F.col("stays_in_week_nights") + F.col("stays_in_weekend_nights")
     amount = units_or_null(F.col("adr"), AMOUNT_SCALE)
-    grouped = summary.rows(events).groupBy(window.alias("w"), *summary.keys).agg(
+    grouped = events.groupBy(F.window("event_timestamp", "1 minute").alias("w"), *_KEYS).agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(flag == 0).alias("confirmed"),
-        F.count_if(flag == 1).alias("canceled"),
         F.sum(amount).alias("amount"),
         F.count(amount).alias("rated"),
-        F.sum(nights).alias("nights"),
-        F.count(nights).alias("stays"),
+        F.sum(night).alias("nights"),
+        F.count(night).alias("stays"),
+    )
+    return grouped.select(F.col("w.start").alias("event_timestamp"), *_KEYS, "total", "amount", "rated", "nights", "stays")
+
+
+def sums(parts: DataFrame, summary: Summary) -> DataFrame:
+    """Sums of one batch for one monitor, from those of :func:`minutes`."""
+    window = F.window("event_timestamp", summary.duration, summary.slide)
+    flag = F.col("is_canceled")
+    grouped = summary.rows(parts).groupBy(window.alias("w"), *summary.keys).agg(
+        F.sum("total").alias("total"),
+        F.sum(F.when(flag == 0, F.col("total")).otherwise(0)).alias("confirmed"),
+        F.sum(F.when(flag == 1, F.col("total")).otherwise(0)).alias("canceled"),
+        *[F.sum(c).alias(c) for c in ("amount", "rated", "nights", "stays")],
     )
     return grouped.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *summary.keys, *_SUMS
@@ -117,9 +129,9 @@ def start_fan_out(
         events = dedupe(events, delay=resent_within)
 
     def write(batch: DataFrame, number: int) -> None:
-        with kept(batch) as rows:
+        with kept(minutes(batch)) as parts:
             for name, summary in SUMMARIES.items():
-                sums(rows, summary).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
+                sums(parts, summary).write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
 
     return start(events, "fan_out", checkpoint, every=every, handler=write)
 

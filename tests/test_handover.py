@@ -1,6 +1,10 @@
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from staylens.plans import handover_questions as H
+from staylens.streaming import events as E
+from staylens.streaming import fanout
 
 
 def test_first_rows_do_not_hang_on_the_order_of_partitions(spark):
@@ -10,3 +14,26 @@ def test_first_rows_do_not_hang_on_the_order_of_partitions(spark):
     got = H.first_rows(batch, [F.asc("id")], 20).collect()
     assert [(r["place"], r["id"]) for r in got] == [(i + 1, i) for i in range(20)]
     assert dict(H.first_rows(batch, [F.asc("id")], 20).dtypes)["place"] == "bigint"
+
+
+def test_fan_out_keeps_sums_and_not_the_batch(spark, monkeypatch, tmp_path):
+    """What stays of a batch between the monitors has a row a minute and key, however many events there are."""
+    seen = []
+
+    @contextmanager
+    def watched(df):
+        seen.append((df.count(), len(df.columns)))
+        yield df
+
+    monkeypatch.setattr(fanout, "kept", watched)
+    one = '{"hotel": "%s", "is_canceled": %d, "adr": 10.5, "adults": 2, "country": "PRT", "deposit_type": "No Deposit", "reserved_room_type": "A", ' \
+        '"stays_in_week_nights": 1, "stays_in_weekend_nights": 1, "event_time": "2020-01-01T00:0%d:07Z"}'
+    messages = [(one % (hotel, flag, minute),) for hotel in ("City", "Resort") for flag in (0, 1) for minute in (0, 1) for _ in range(25)]
+    spark.createDataFrame(messages, "value string").write.parquet(f"{tmp_path}/in")
+    events = E.parse_events(E.read_stream(spark, "parquet", f"{tmp_path}/in", "value string"))
+    fanout.start_fan_out(events, f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None).awaitTermination()
+    assert seen == [(8, 11)]
+    counts = fanout.report(spark, f"{tmp_path}/out", "bookings_per_minute").collect()
+    assert {(r["hotel"], r["total_bookings"], r["confirmed"], r["canceled"]) for r in counts} == {("City", 50, 25, 25), ("Resort", 50, 25, 25)} and len(counts) == 4
+    rates = fanout.report(spark, f"{tmp_path}/out", "rate_over_time").collect()
+    assert {r["booking_count"] for r in rates} == {25, 50} and {r["avg_daily_rate"] for r in rates} == {10.5} and len(rates) == 12
