@@ -199,5 +199,5 @@ def test_stored_sides_are_those_of_the_split(spark, small):
     stored = booking_models.sides(spark, small)
     made = split.stratified_split(features.extract(cleaned(spark, small)), TARGET)
     for a, b in zip(stored, made):
-        assert a.columns == b.columns and a.count() == b.count() > 0
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert a.columns == b.columns
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())) != []
