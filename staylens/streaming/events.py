@@ -79,9 +79,13 @@ def kafka_options(servers: str, topic: str, per_trigger: int | None = None, star
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Bytes or text -> one column per schema field; text that is no JSON gives nulls."""
+    """Bytes or text -> one column per schema field; text that is no JSON gives nulls.
+
+    The fields come from a generator, as filters are not moved below one: moved below a projection,
+    a filter parses the text again for every mention of a field.
+    """
     parsed = F.from_json(F.col(value).cast("string"), schema)
-    return df.select(*keep, parsed.alias("_parsed")).select(*keep, "_parsed.*")
+    return df.select(*keep, F.inline(F.array(parsed)))
 
 
 def rejection(times: str = "event_timestamp") -> Column:

@@ -165,3 +165,15 @@ def test_message_options():
     options = E.kafka_options("host:9092", "reservations")
     assert "maxOffsetsPerTrigger" not in options and options["startingOffsets"] == "latest"
     assert E.kafka_options("host:9092", "reservations", 500)["maxOffsetsPerTrigger"] == "500"
+
+
+def test_filters_do_not_parse_a_message_again(spark, tmp_path):
+    lines = [message(), "not json", message(adr=-1.0), message(country="0", event_id="BKG-2"), message(lead_time="soon", event_id="BKG-3")]
+    spark.createDataFrame([(x,) for x in [*lines, None]], VALUE).write.parquet(str(tmp_path / "in"))
+    raw = spark.read.parquet(str(tmp_path / "in"))
+    events = E.parse_events(raw)
+    for report_ in (events, M.top_countries(events), M.rate_over_time(events), E.rejected_counts(raw)):
+        plan = report_._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
+    assert rows(events, "event_id", "lead_time") == [("BKG-1", 30), ("BKG-2", 30), ("BKG-3", None)]
+    assert rows(E.rejected_counts(raw)) == [("no_rate", 1), ("no_time", 2)]
