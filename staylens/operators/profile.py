@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylens.functions import MISSING_TOKENS, is_missing
+from staylens.session import settled
 
 
 def _one_row_to_long(row: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -89,16 +90,19 @@ def row_digest(columns: Sequence[str]) -> Column:
 def full_row_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that occur more than once, each once, with ``copies``.
 
-    Only digests are shuffled to count the copies. The columns are then fetched for the
-    repeated digests, and met by them alone.
+    Only 64-bit hashes are shuffled to find the rows that may be repeated, and those of more than one row
+    are written, so that their number is known when rows are met with them. Different rows of one hash
+    fall out as the rows themselves are counted. ``df`` is read twice.
     """
     names = list(columns or df.columns)
-    marked = df.select(*names, row_digest(names).alias("_digest"))
-    repeated = marked.groupBy("_digest").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    met = marked.join(repeated, "_digest")
-    # Copies are equal in every column, so any of them will do.
-    first = met.groupBy("_digest").agg(*[F.first(c).alias(c) for c in names], F.first("copies").alias("copies"))
-    return first.drop("_digest")
+    # Spark has no hash of a map; the rows that differ in one alone are told apart by the count.
+    hashed = [c for c, kind in df.select(*names).dtypes if "map<" not in kind]
+    marked = df.select(*names, F.xxhash64(*hashed).alias("_hash") if hashed else F.lit(0).alias("_hash"))
+    several = marked.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    met = marked.join(settled(several.select("_hash"), "repeated"), "_hash", "left_semi")
+    # Grouped by the hash too: rows that were dealt by it need not be dealt again.
+    groups = met.groupBy("_hash", *names).agg(F.count(F.lit(1)).alias("copies"))
+    return groups.filter(F.col("copies") > 1).drop("_hash")
 
 
 def full_row_summary(df: DataFrame) -> DataFrame:

@@ -119,3 +119,17 @@ def test_empty_stream_sources(spark, tmp_path):
     assert replay(spark, M.bookings_per_minute(stream), ["window_start", "hotel"], "empty").count() == 0
     for name in SUMMARIES:
         assert report(spark, str(tmp_path / "none"), name).count() == 0
+
+
+def test_full_row_duplicates_meet_by_short_hashes(spark):
+    df = spark.createDataFrame(
+        [(1, None, 0.5), (1, None, 0.5), (1, "a", None), (None, "a", 0.5), (None, "a", 0.5), (None, "a", 0.5)], "n int, s string, x double"
+    )
+    got = profile.full_row_duplicates(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # No long digest of every row, and the rows are met with a stored table of known size.
+    assert "sha2(" not in plan and "Scan parquet" in plan
+    assert {tuple(r) for r in got.collect()} == {(1, None, 0.5, 2), (None, "a", 0.5, 3)}
+    # Rows that all have one hash, as a map has none.
+    maps = spark.sql("SELECT map('k', id % 3) AS m FROM range(5)")
+    assert sorted((r["m"]["k"], r["copies"]) for r in profile.full_row_duplicates(maps).collect()) == [(0, 2), (1, 2)]
