@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,11 +145,13 @@ def numeric_summary(
     for exact ones).
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggregates, entries = [], []
+    # One text range makes Spark aggregate all columns uncompiled, so numbers and text are read apart.
+    parts = {True: ([], []), False: ([], [])}
     null_number, null_text = F.lit(None).cast("double"), F.lit(None).cast("string")
     for i, name in enumerate(columns):
         column = F.col(name)
         numeric = isinstance(types[name], T.NumericType)
+        aggregates, entries = parts[numeric]
         aggregates += [
             F.count(column).alias(f"n{i}"),
             F.min(column).alias(f"lo{i}"),
@@ -167,6 +170,7 @@ def numeric_summary(
 
         entries.append(
             F.struct(
+                F.lit(i).alias("_place"),
                 F.lit(name).alias("column"),
                 F.col(f"n{i}").alias("count"),
                 pick(F.col(f"mean{i}").cast("double")).alias("mean"),
@@ -181,4 +185,5 @@ def numeric_summary(
                 (null_text if numeric else F.col(f"hi{i}").cast("string")).alias("max_text"),
             )
         )
-    return _one_row_to_long(df.agg(*aggregates), entries)
+    tables = [_one_row_to_long(df.agg(*aggregates), entries) for aggregates, entries in parts.values() if entries]
+    return reduce(DataFrame.unionByName, tables).orderBy("_place").drop("_place")

@@ -102,20 +102,20 @@ def _resolve(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, int], flo
             slices.setdefault((t.column, t.low, t.high, t.below), []).append(t)
     if not slices:
         return answer
-    hits, entries, wanted = F.lit(False), [], []
+    entries, wanted = [], []
     for i, ((column, low, high, below), members) in enumerate(slices.items()):
         v = _clean(column)
-        hit = (v >= low) & (v <= high)
-        hits = hits | hit
-        entries.append(F.struct(F.lit(i).alias("slice"), F.when(hit, v).alias("value")))
+        entries.append(F.when((v >= low) & (v <= high), v).alias(str(i)))
         ranks = [F.lit(t.rank - below).cast("bigint") for t in members]
         wanted += [F.lit(i), F.array(*ranks)]
+    # An array of all entries, exploded, is a method too long to be compiled once there are many columns.
     counted = (
-        df.filter(hits)
-        .select(F.inline(F.array(*entries)))
+        df.select(*entries)
+        .unpivot([], [str(i) for i in range(len(entries))], "slice", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("slice", "value")
         .count()
+        .withColumn("slice", F.col("slice").cast("int"))
     )
     upto = Window.partitionBy("slice").orderBy("value")
     running = counted.withColumn("upto", F.sum("count").over(upto))

@@ -87,6 +87,14 @@ def test_summary_is_typed(spark):
     assert (meal["count"], meal["mean"], meal["min_text"], meal["max_text"]) == (4, None, "BB", "HB")
 
 
+def test_text_ranges_do_not_slow_the_numbers(spark):
+    df = bookings(spark, {"adr": 10.0}, {"adr": 20.0, "meal": "HB"})
+    summary = profile.numeric_summary(df, ["meal", "adr", "babies"], quartiles=False)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert " HashAggregate" in plan and "SortAggregate" in plan
+    assert [r["column"] for r in summary.collect()] == ["meal", "adr", "babies"]
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows share one value; the others spread over many sizes."""
