@@ -36,7 +36,9 @@ def headers(spark: SparkSession, path: str, names: list[str], separator: str = "
     found: dict[str, list[str]] = {}
     for row in lines.filter(test & full).distinct().collect():
         found.setdefault(row["line"], []).append(row["file"])
-    files = {r["file"] for r in lines.select("file").distinct().collect()}
+    # Listed, not read: an empty file has no line and needs no header.
+    listed = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0)
+    files = {r["file"] for r in listed.select(F.col("_metadata.file_path").alias("file")).collect()}
     lacking = sorted(files - {f for own in found.values() for f in own})
     if lacking:
         raise ValueError(f"no header with all wanted columns in: {lacking[:5]}")
@@ -47,20 +49,10 @@ def read_csv_folder(spark: SparkSession, path: str, schema: StructType, separato
     """Read every file by its own header; rows that do not parse or do not fit their types go to ``bad``.
 
     Files with one header are read together. All rows are parsed once and written with their
-    fault, so both tables, and counts of them, come from the same parse. Columns that ``schema``
-    does not name are ignored.
+    fault, so both tables, and counts of them, come from the same parse; only a bad row's record is
+    put together and written. Columns that ``schema`` does not name are ignored.
     """
     names = [f.name for f in schema.fields]
-    parts = None
-    for line, files in sorted(headers(spark, path, names, separator).items()):
-        order = [x.strip(' "﻿') for x in next(csv.reader([line], delimiter=separator))]
-        raw = StructType([*[StructField(c, StringType()) for c in order], StructField(_BAD, StringType())])
-        rows = spark.read.schema(raw).csv(
-            files, header=True, sep=separator, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True
-        )
-        record = F.coalesce(_BAD, F.to_csv(F.struct(*[F.col(c) for c in order])))
-        part = rows.select(*names, F.col(_BAD), record.alias("record"), F.col("_metadata.file_path").alias(_FILE))
-        parts = part if parts is None else parts.unionByName(part)
 
     def mistyped(field: StructField) -> Column:
         value = F.col(field.name)
@@ -70,8 +62,22 @@ def read_csv_folder(spark: SparkSession, path: str, schema: StructType, separato
     for field in schema.fields:
         reason = reason.when(mistyped(field), f"mistyped {field.name}")
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    fault = F.col("_row_fault")
+    parts = None
+    for line, files in sorted(headers(spark, path, names, separator).items()):
+        order = [x.strip(' "﻿') for x in next(csv.reader([line], delimiter=separator))]
+        raw = StructType([*[StructField(c, StringType()) for c in order], StructField(_BAD, StringType())])
+        rows = spark.read.schema(raw).csv(
+            files, header=True, sep=separator, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True
+        )
+        record = F.coalesce(_BAD, F.to_csv(F.struct(*[F.col(c) for c in order])))
+        part = rows.withColumns({"_row_fault": reason, "_row_file": F.col("_metadata.file_path")}).select(
+            *typed, fault.alias(_REASON),
+            F.when(fault.isNotNull(), record).alias("record"), F.when(fault.isNotNull(), F.col("_row_file")).alias(_FILE),
+        )
+        parts = part if parts is None else parts.unionByName(part)
     out = scratch_dir(spark, "csv-rows")
-    parts.select(*typed, reason.alias(_REASON), "record", F.col(_FILE)).write.parquet(out)
+    parts.write.parquet(out)
     parsed = spark.read.parquet(out)
     bad = parsed.filter(F.col(_REASON).isNotNull())
     return CsvRows(

@@ -125,3 +125,14 @@ def test_bucketed_tables_join_without_a_shuffle(spark, small):
     joined = orders.hint("merge").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     assert "Exchange" not in plan(joined)
     assert "Exchange" not in plan(lines.groupBy("l_orderkey").count())
+
+
+def test_csv_records_are_made_of_bad_rows_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,name\n1,a\n2,b\nx,c\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    got = read_csv_folder(spark, str(tmp_path / "in"), spark.createDataFrame([], "id int, name string").schema)
+    stored = spark.read.parquet(*got.good.inputFiles())
+    assert sorted(tuple(r) for r in got.good.collect()) == [(1, "a"), (2, "b")]
+    assert [r["record"] for r in got.bad.collect()] == ["x,c"]
+    assert sorted(r["record"] or "" for r in stored.collect()) == ["", "", "x,c"]
