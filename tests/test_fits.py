@@ -32,6 +32,16 @@ def test_rows_are_dealt_one_task_a_core(spark, monkeypatch):
     assert session.dealt(uneven).rdd.getNumPartitions() == 40
 
 
+def test_rows_have_one_order_in_their_task(train, monkeypatch):
+    """A draw by place would differ from run to run otherwise."""
+    monkeypatch.setattr(session, "LEAST_ROWS_PER_TASK", 100)
+    fresh = train.select("label", "features").repartition(7)
+    for part in session.dealt(fresh).rdd.glom().collect():
+        assert len(part) > 50 and [r["label"] for r in part] == sorted(r["label"] for r in part)
+        zeros = [list(r["features"].toArray()) for r in part if r["label"] == 0]
+        assert zeros == sorted(zeros)
+
+
 def test_kept_rows_are_not_dealt_again(train):
     assert session.dealt(train) is train
 
