@@ -13,7 +13,7 @@ from staylens.plans import model_questions, questions as Q
 from staylens.plans.booking_questions import _raw, cleaned
 from staylens.plans.stream_questions import _plain_times, event_stream
 from staylens.schemas import RAW
-from staylens.session import scratch_dir
+from staylens.session import scratch_dir, shuffles_dropped
 from staylens.sources import read_bookings, read_csv_folder, read_features, write_csv, write_parquet
 from staylens.streaming import monitors as M
 from staylens.streaming.run import start
@@ -23,12 +23,16 @@ SHOWN = 20
 
 
 def booking_csv_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw reservations written as CSV, read, cleaned, turned into features, written as CSV and read back."""
+    """Raw reservations written as CSV, read, cleaned, turned into features, written as CSV and read back.
+
+    Both folders stay, so they are packed; the files of the join's shuffle go once the raw rows are written.
+    """
     path = scratch_dir(spark, "csv-stages")
-    write_csv(_raw(spark, folder).select(*RAW.names), f"{path}/raw")
+    with shuffles_dropped(spark):
+        write_csv(_raw(spark, folder).select(*RAW.names), f"{path}/raw", "gzip")
     table = features.extract(cleaning.clean(read_bookings(spark, f"{path}/raw")))
-    write_csv(table, f"{path}/features")
-    back = read_csv_folder(spark, f"{path}/features/*.csv", table.schema).good
+    write_csv(table, f"{path}/features", "gzip")
+    back = read_csv_folder(spark, f"{path}/features/*.csv.gz", table.schema).good
     return back.withColumn("cancellation_rate", F.round("cancellation_rate", 6))
 
 

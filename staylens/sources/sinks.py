@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    df.write.mode("overwrite").csv(path, header=True, compression=compression)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

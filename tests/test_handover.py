@@ -1,7 +1,9 @@
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from staylens import session
 from staylens.plans import handover_questions as H
 from staylens.streaming import events as E
 from staylens.streaming import fanout
@@ -37,3 +39,31 @@ def test_fan_out_keeps_sums_and_not_the_batch(spark, monkeypatch, tmp_path):
     assert {(r["hotel"], r["total_bookings"], r["confirmed"], r["canceled"]) for r in counts} == {("City", 50, 25, 25), ("Resort", 50, 25, 25)} and len(counts) == 4
     rates = fanout.report(spark, f"{tmp_path}/out", "rate_over_time").collect()
     assert {r["booking_count"] for r in rates} == {25, 50} and {r["avg_daily_rate"] for r in rates} == {10.5} and len(rates) == 12
+
+
+def test_csv_stages_are_packed_and_hold_every_row(spark, small, monkeypatch, tmp_path):
+    monkeypatch.setattr(H, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    got = H.booking_csv_features(spark, small)
+    for stage, rows in (("raw", spark.read.parquet(f"{small}/lineitem.parquet").count()), ("features", got.count())):
+        files = [f.name for f in tmp_path.glob(f"csv-stages/{stage}/part-*")]
+        assert files and all(f.endswith(".csv.gz") for f in files)
+        assert spark.read.csv(f"{tmp_path}/csv-stages/{stage}", header=True).count() == rows > 0
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _shuffle_files(spark)
+    with session.shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+        spark.range(1000).repartition(5, "id").write.parquet(f"{tmp_path}/rows")
+    assert spark.conf.get(key) == "false"
+    for _ in range(50):  # they are removed in the background
+        left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.read.parquet(f"{tmp_path}/rows").count() == 1000
