@@ -4,7 +4,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from staylens import session
-from staylens.plans import handover_questions as H
+from staylens.plans import booking_models, handover_questions as H
 from staylens.streaming import events as E
 from staylens.streaming import fanout
 
@@ -55,15 +55,26 @@ def _shuffle_files(spark):
     return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
 
 
+def _left(spark, before):
+    for _ in range(50):  # they are removed in the background
+        left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
 def test_shuffle_files_go_with_their_query(spark, tmp_path):
     key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _shuffle_files(spark)
     with session.shuffles_dropped(spark):
         assert spark.conf.get(key) == "true"
         spark.range(1000).repartition(5, "id").write.parquet(f"{tmp_path}/rows")
     assert spark.conf.get(key) == "false"
-    for _ in range(50):  # they are removed in the background
-        left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
-        if not left:
-            break
-        time.sleep(0.1)
-    assert not left and spark.read.parquet(f"{tmp_path}/rows").count() == 1000
+    assert not _left(spark, before) and spark.read.parquet(f"{tmp_path}/rows").count() == 1000
+
+
+def test_model_table_leaves_no_shuffle_files(spark, small):
+    before = _shuffle_files(spark)
+    with session.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        table = booking_models.model_table(spark, small)
+    assert not _left(spark, before) and table.count() > 0
