@@ -5,7 +5,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from staylens import session
-from staylens.ml import classify
+from staylens.ml import classify, cluster
 from staylens.plans import model_questions
 
 GRID = {"maxDepth": [1, 2], "numTrees": [2, 3]}
@@ -111,3 +111,15 @@ def test_texts_of_a_compact_file_are_measured_by_many_tasks(spark, small, tmp_pa
     dealt = model_questions.document_features(spark, str(tmp_path))
     assert len(_sizes(dealt)) > 8
     assert sorted(dealt.collect()) == sorted(one) and len(one) == spark.read.parquet(f"{small}/labels.parquet").count()
+
+
+def test_a_sweep_uses_rows_that_are_kept(train, monkeypatch):
+    rows = train.select("features").cache()
+    spread, asked = cluster.spread, []
+    monkeypatch.setattr(cluster, "spread", lambda df: asked.append(1) or spread(df))
+    swept = cluster.sweep(rows, [2, 3])
+    assert not asked and rows.is_cached
+    rows.unpersist()
+    again = cluster.sweep(rows, [2, 3])
+    assert asked and [r["k"] for r in swept.collect()] == [2, 3]
+    assert [r["training_cost"] for r in swept.collect()] == pytest.approx([r["training_cost"] for r in again.collect()])
