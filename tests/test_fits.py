@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from staylens import session
 from staylens.ml import classify, cluster
-from staylens.plans import model_questions
+from staylens.plans import model_facts, model_questions
 
 GRID = {"maxDepth": [1, 2], "numTrees": [2, 3]}
 
@@ -113,6 +113,18 @@ def test_texts_of_a_compact_file_are_measured_by_many_tasks(spark, small, tmp_pa
     assert sorted(dealt.collect()) == sorted(one) and len(one) == spark.read.parquet(f"{small}/labels.parquet").count()
 
 
+def test_facts_of_all_kinds_deal_their_rows_once(spark, train, monkeypatch):
+    dealt, kept = session.dealt, []
+    for place in (classify, model_facts):
+        monkeypatch.setattr(place, "dealt", lambda df: kept.append(df.is_cached) or dealt(df), raising=False)
+    rows = train.select("features", "label")
+    got = model_facts._path_facts(spark, rows, rows, {"lr": {}, "rf": {"numTrees": 2}, "gbt": {"maxIter": 1}})
+    values = {(r["subject"], r["fact"]): r["value"] for r in got.collect()}
+    assert kept == [False, True, True, True]
+    assert {values[name, "confusion_total"] for name in classify.NAMES.values()} == {400}
+    assert {values[name, "reloaded_differ"] for name in classify.NAMES.values()} == {0}
+
+
 def test_a_sweep_uses_rows_that_are_kept(train, monkeypatch):
     rows = train.select("features").cache()
     spread, asked = cluster.spread, []
